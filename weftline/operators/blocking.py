@@ -2,6 +2,7 @@
 
 Block sizes come from an aggregate joined back, not from a window: a key that holds a third of all
 rows is then counted map-side and its join can be split, whereas a window would sort it in one task.
+The sized rows of each stage are written to the shared folder, so no stage computes its upstream twice.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions import text as t
+from weftline.session import materialize
 from weftline.settings import BlockingParams
 
 ROW = ["kind", "bkey", "company_id"]
@@ -65,10 +67,10 @@ def block_sizes(rows: DataFrame) -> DataFrame:
 
 
 def _split(rows: DataFrame, limit: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    sizes = block_sizes(rows)
-    joined = rows.join(sizes, ["kind", "bkey"])
-    kept = joined.filter(F.col("n").between(2, limit)).select(*ROW)
-    return kept, joined.filter(F.col("n") > limit).select(*ROW, "n"), sizes.filter(F.col("n") > limit)
+    sized = materialize(rows.join(block_sizes(rows).filter("n >= 2"), ["kind", "bkey"]))
+    kept = sized.filter(F.col("n").between(2, limit)).select(*ROW)
+    big = sized.filter(F.col("n") > limit).select(*ROW, "n")
+    return kept, big, big.select("kind", "bkey", "n").distinct()
 
 
 def stage1_rows(companies: DataFrame, p: BlockingParams) -> DataFrame:
