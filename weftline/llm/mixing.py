@@ -24,7 +24,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MOST = 3
 #: Documents that a shard of one source should hold on average, and the range of the number of shards.
-SHARD_DOCS = 2048
+SHARD_DOCS = 512
 SHARDS = (16, 4096)
 
 

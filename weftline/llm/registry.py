@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from weftline.llm import license_scan, mixing
+from weftline.llm import chat_format, license_scan, mixing, url_filter
 
 
-def _table(name: str, op, **more):
-    return lambda spark, sf_dir: op(spark.read.parquet(f"{sf_dir}/{name}.parquet"), **more)
+def _table(name: str, op):
+    return lambda spark, sf_dir: op(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def queries() -> dict:
     return {
         "op1_license_scan": _table("documents", license_scan.op1_license_scan),
+        "op2_chat_format": _table("conversations", chat_format.op2_chat_format),
+        "op8_url_filter": _table("pages", url_filter.op8_url_filter),
         "op10_mixing": _table("documents", mixing.op10_mixing),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": license_scan.op1_sql()}
+    return {"op1_license_scan": license_scan.op1_sql(), "op2_chat_format": chat_format.OP2_SQL, "op8_url_filter": url_filter.op8_sql()}
