@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weftline.llm import chat_format, license_scan, mixing, url_filter
+from weftline.llm import bpe, chat_format, embedding_dedup, license_scan, media, mixing, toxicity, url_filter
 
 
 def _table(name: str, op):
@@ -13,7 +13,11 @@ def queries() -> dict:
     return {
         "op1_license_scan": _table("documents", license_scan.op1_license_scan),
         "op2_chat_format": _table("conversations", chat_format.op2_chat_format),
+        "op5_media": _table("documents", media.op5_media),
+        "op6_embedding_dedup": _table("embeddings", embedding_dedup.op6_embedding_dedup),
+        "op7_bpe": _table("documents", bpe.op7_bpe),
         "op8_url_filter": _table("pages", url_filter.op8_url_filter),
+        "op9_toxicity": lambda spark, sf_dir: toxicity.op9_toxicity(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")),
         "op10_mixing": _table("documents", mixing.op10_mixing),
     }
 
