@@ -1,7 +1,8 @@
 """Toxicity with a classifier chain.
 
-Categories are predicted in turn by linear models over hashed words (present or not); each later
-model also gets the log-odds of the earlier ones. In training these come out of fold, so that a later
+Categories are predicted in turn by linear models over hashed words (present or not), of which each
+keeps those that depend on the category beyond chance; each later model also gets the log-odds of
+the earlier ones. In training these come out of fold, so that a later
 model meets earlier predictions as they are on unseen texts. The threshold of the last category is
 the one with the best F1 out of fold.
 
@@ -24,17 +25,23 @@ from weftline.llm.arrow import map_batches
 from weftline.llm.textnum import NON_WORDS, groups, utf8, words
 
 #: Labelled rows to fit on, at most; buckets of hashed words; folds.
-SAMPLE, BUCKETS, FOLDS = 8000, 1 << 16, 3
+SAMPLE, BUCKETS, FOLDS = 8000, 1 << 22, 3
+#: The likelihood-ratio statistic of word and category that a word needs; among millions of words chance reaches about 25.
+EVIDENCE = 25.0
 #: The chain: category and the SQL over the labels that says whether a document has it.
 CHAIN = (("low_quality", "quality = 0"), ("toxic", "toxic = 1"))
 
 
-def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets of each text, one after the other, and their number for each text."""
+def features(texts: list[bytes], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets of each text, one text after the other, and their number for each; only wanted ones, if given by a mask."""
     all_buckets, counts = [], []
     for a, b in groups(texts):
         h, n = words(texts[a:b], NON_WORDS)
-        key = np.unique(np.repeat(np.arange(b - a), n) * BUCKETS + (h % np.uint64(BUCKETS)).astype(np.int64))
+        bucket, row = (h % np.uint64(BUCKETS)).astype(np.int64), np.repeat(np.arange(b - a), n)
+        if wanted is not None:
+            on = wanted[bucket]
+            bucket, row = bucket[on], row[on]
+        key = np.unique(row * BUCKETS + bucket)
         all_buckets.append((key % BUCKETS).astype(np.int32))
         counts.append(np.bincount(key // BUCKETS, minlength=b - a))
     return np.concatenate(all_buckets or [np.array([], np.int32)]), np.concatenate(counts or [np.array([], np.int64)])
@@ -47,33 +54,57 @@ def _log_odds(p: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Linear:
-    """Weights by bucket, for the earlier categories' log-odds, and the intercept."""
+    """Kept buckets in order, their weights, weights of the earlier categories' log-odds, and the intercept."""
 
+    kept: np.ndarray
     weights: np.ndarray
     earlier: np.ndarray
     intercept: float
 
     def predict(self, bucket: np.ndarray, row: np.ndarray, n: int, before: np.ndarray) -> np.ndarray:
-        margin = np.bincount(row, weights=self.weights[bucket], minlength=n) + before @ self.earlier + self.intercept
+        margin = before @ self.earlier + self.intercept
+        if len(self.kept):
+            at = np.minimum(np.searchsorted(self.kept, bucket), len(self.kept) - 1)
+            on = self.kept[at] == bucket
+            margin = margin + np.bincount(row[on], weights=self.weights[at[on]], minlength=n)
         return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
 
-def fit_linear(bucket: np.ndarray, row: np.ndarray, n: int, before: np.ndarray, y: np.ndarray, steps: int = 60, rate: float = 0.1, l2: float = 1.0) -> Linear:
-    """Logistic regression with balanced classes, by full-batch Adam."""
+def evidence(bucket: np.ndarray, row: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that occur, and the likelihood-ratio statistic of presence and category for each."""
+    kept, at = np.unique(bucket, return_inverse=True)
+    with_word = np.bincount(at, minlength=len(kept)).astype(float)
+    positive = np.bincount(at, weights=y[row], minlength=len(kept))
+    n, k = float(len(y)), y.sum()
+    g = np.zeros(len(kept))
+    for seen, total in ((positive, k * with_word / n), (with_word - positive, (n - k) * with_word / n), (k - positive, k * (n - with_word) / n), (n - k - with_word + positive, (n - k) * (n - with_word) / n)):
+        g += 2 * np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(total, 1e-9)), 0)
+    return kept, g
+
+
+def fit_linear(bucket: np.ndarray, row: np.ndarray, n: int, before: np.ndarray, y: np.ndarray, steps: int = 100, rate: float = 0.1, l2: float = 1.0) -> Linear:
+    """Logistic regression with balanced classes, by full-batch Adam, on the words with enough evidence."""
     share = y.mean() if n else 0.0
+    none = np.array([], np.int64)
     if not 0 < share < 1:
-        return Linear(np.zeros(BUCKETS), np.zeros(before.shape[1]), float(_log_odds(np.array(share))) if share else -30.0)
+        return Linear(none, np.zeros(0), np.zeros(before.shape[1]), float(_log_odds(np.array(share))) if share else -30.0)
+    kept, g = evidence(bucket, row, y)
+    kept = kept[g >= EVIDENCE].astype(np.int64)
+    at = np.minimum(np.searchsorted(kept, bucket), max(0, len(kept) - 1))
+    on = kept[at] == bucket if len(kept) else np.zeros(len(bucket), bool)
+    column, row = at[on], row[on]
     class_weight = np.where(y > 0, 0.5 / share, 0.5 / (1 - share)) / n
-    size = BUCKETS + before.shape[1] + 1
-    w, m, v = np.zeros(size), np.zeros(size), np.zeros(size)
+    size = len(kept)
+    w = np.zeros(size + before.shape[1] + 1)
+    m, v = w.copy(), w.copy()
     for t in range(1, steps + 1):
-        model = Linear(w[:BUCKETS], w[BUCKETS:-1], w[-1])
-        r = (model.predict(bucket, row, n, before) - y) * class_weight
-        g = np.concatenate([np.bincount(bucket, weights=r[row], minlength=BUCKETS), before.T @ r, [r.sum()]])
-        g[:-1] += l2 / n * w[:-1]
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        margin = np.bincount(row, weights=w[column], minlength=n) + before @ w[size:-1] + w[-1]
+        r = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y) * class_weight
+        slope = np.concatenate([np.bincount(column, weights=r[row], minlength=size), before.T @ r, [r.sum()]])
+        slope[:-1] += l2 / n * w[:-1]
+        m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope * slope
         w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
-    return Linear(w[:BUCKETS], w[BUCKETS:-1], float(w[-1]))
+    return Linear(kept, w[:size], w[size:-1], float(w[-1]))
 
 
 @dataclass
@@ -84,7 +115,10 @@ class Chain:
 
     def predict(self, texts: list[bytes]) -> np.ndarray:
         """A row for each text, a column for each category."""
-        bucket, counts = features(texts)
+        wanted = np.zeros(BUCKETS, bool)
+        for model in self.models:
+            wanted[model.kept] = True
+        bucket, counts = features(texts, wanted)
         row, n = np.repeat(np.arange(len(texts)), counts), len(texts)
         p = np.zeros((n, 0))
         for model in self.models:
