@@ -32,3 +32,12 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/weftline-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a materialized table that nothing will read again."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    for name in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        if "/weftline-" in name:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
