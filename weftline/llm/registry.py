@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weftline.llm import bpe, chat_format, embedding_dedup, license_scan, media, minhash_dedup, mixing, toxicity, url_filter
+from weftline.llm import bpe, chat_format, embedding_dedup, license_scan, media, minhash_dedup, mixing, suffix_dedup, toxicity, url_filter
 
 
 def _table(name: str, op):
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op1_license_scan": _table("documents", license_scan.op1_license_scan),
         "op2_chat_format": _table("conversations", chat_format.op2_chat_format),
         "op3_minhash_dedup": _table("documents", minhash_dedup.op3_minhash_dedup),
+        "op4_suffix_dedup": _table("documents", suffix_dedup.op4_suffix_dedup),
         "op5_media": _table("documents", media.op5_media),
         "op6_embedding_dedup": _table("embeddings", embedding_dedup.op6_embedding_dedup),
         "op7_bpe": _table("documents", bpe.op7_bpe),
