@@ -240,9 +240,11 @@ def removals(documents: DataFrame, text: str = "text", keep_text: bool = False)
     named = documents.withColumns({"node": F.xxhash64(body), "nb": F.octet_length(body).cast("long")})
     texts = named.select("node", "nb", body.alias("text")).filter(F.col("nb") >= LENGTH)
     rows = materialize(map_batches(texts, _find_runs, "node long, nb long, packed long, key long, run long"))
-    again = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    # a table of its own, so that both sides of the join are plain exchanges and a frequent key can be split
+    again = materialize(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"))
     shared = materialize(rows.join(again, "key"))
     discard(rows)
+    discard(again)
     different = materialize(shared.groupBy("key", "run").agg(F.count("*").alias("copies"), F.min(F.struct("node", "nb", "packed")).alias("x")))
     mixed = different.groupBy("key").agg(F.count("*").alias("n"), F.min("copies").alias("least")).filter("n > 1 AND least = 1").select("key")
     unique_texts = texts.groupBy("node", "nb").agg(F.first("text").alias("text"))
