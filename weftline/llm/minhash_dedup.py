@@ -218,7 +218,8 @@ def classes(documents: DataFrame, text: str = "text", key: str = "doc_id", limit
     sketched = materialize(map_batches(rows.select("key", "node", "text"), run, f"key {kind}, node string, sketches array<long>"))
     nodes = materialize(sketched.groupBy("node").agg(F.first("sketches").alias("sketches")))
     members = nodes.select("node", F.posexplode("sketches").alias("t", "s"))
-    pivots = members.groupBy("t", "s").agg(F.min("node").alias("pivot"), F.max("node").alias("other")).filter("pivot <> other").select("t", "s", "pivot")
+    # tables of their own, here and below, so that both sides of a join are plain exchanges and a frequent value can be split
+    pivots = materialize(members.groupBy("t", "s").agg(F.min("node").alias("pivot"), F.max("node").alias("other")).filter("pivot <> other").select("t", "s", "pivot"))
     pairs = materialize(members.join(pivots, ["t", "s"]).filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
     needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     seqs = materialize(_sequences(rows.select("node", "text").join(needed, "node", "left_semi")).groupBy("node").agg(F.first("seq").alias("seq")))
@@ -227,6 +228,7 @@ def classes(documents: DataFrame, text: str = "text", key: str = "doc_id", limit
     joined = materialize(connected_components(links, "a", "b"))
     of = members.join(needed, "node", "left_semi").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     open_ = of.groupBy("t", "s").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.ceil(F.count("*") / BLOCK).cast("int").alias("subs")).filter("c <> d").select("t", "s", "subs")
+    open_ = materialize(open_)
     left = materialize(of.join(open_, ["t", "s"]))
     if not left.isEmpty():
         me = F.pmod(F.xxhash64("node"), F.col("subs")).cast("int")
@@ -237,7 +239,8 @@ def classes(documents: DataFrame, text: str = "text", key: str = "doc_id", limit
         if not more.isEmpty():
             joined = materialize(connected_components(links.unionByName(more), "a", "b"))
     least = sketched.groupBy("node").agg(F.min("key").alias("key")).join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    chosen = least.groupBy("component").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "node")).alias("x"))
+    least = materialize(least)
+    chosen = materialize(least.groupBy("component").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "node")).alias("x")))
     facts = least.select("node", "component").join(chosen, "component").select("node", F.col("x.key").alias("class_id"), F.col("x.node").alias("class_node"))
     return sketched.select(F.col("key").alias(key), "node").join(facts, "node")
 
