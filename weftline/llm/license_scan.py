@@ -106,9 +106,11 @@ def _coverage(template: Template, start: Column) -> Column:
 
 
 def scan(df: DataFrame, text: str = "text", templates: tuple[Template, ...] = TEMPLATES, coverage: float = COVERAGE) -> DataFrame:
-    """df's columns with n_words, matches (label, base, start, coverage; one for each place) and score (0 to 1)."""
+    """df's columns with n_words, matches (label, base, start, coverage; one for each place) and score (0 to 1).
+
+    Columns of these names that df has are replaced.
+    """
     vocabulary = sorted({w for t in templates for w in t.key})
-    # the licence line of a text decides little about its cost: the words are split once for the count, once for the lookup
     indexed = df.withColumn("_words", words_of(F.col(text))).withColumn("_post", _postings(F.col("_words"), vocabulary))
     weight = idf(*document_frequencies(df.select(_postings(words_of(F.col(text)), vocabulary).alias("_post")), vocabulary))
     places = []
