@@ -133,8 +133,8 @@ def split_quota(per: DataFrame, quotas: DataFrame, levels: int, seed: int) -> Da
     running = F.coalesce(F.sum("blocks").over(Window.partitionBy("s1").orderBy("h1")), F.lit(0))
     one = full.select("s1", "quota", F.struct("h1", running.alias("c")).alias("x")).groupBy("s1", "quota").agg(F.sort_array(F.collect_list("x")).alias("xs"))
     out = one.select("s1", F.array_prepend(F.transform("xs", lambda x: x["c"]), F.lit(0).cast("long")).alias("cum"), F.array("quota").alias("q"))
-    # sources are few and their draws take time: a task for each, which adaptive execution leaves alone
-    out = out.repartition(int(quotas.sparkSession.conf.get("spark.sql.shuffle.partitions")), "s1")
+    # sources are few and their draws take time: a task for each, which adaptive execution leaves alone; by s1 alone it would be taken for the partitioning that is there
+    out = out.repartition(int(quotas.sparkSession.conf.get("spark.sql.shuffle.partitions")), "s1", "cum")
     for level in range(levels):
         width = shards >> level
         at = lambda i: F.get("cum", (i * width).cast("int"))
