@@ -146,7 +146,8 @@ def split_quota(per: DataFrame, quotas: DataFrame, levels: int, seed: int) -> Da
             return F.flatten(F.transform(F.array(drawn), lambda d: F.array(d, q - d)))
 
         out = out.select("s1", "cum", F.flatten(F.transform("q", children)).alias("q"))
-    return out.select(F.col("s1").alias("source"), F.posexplode("q").alias("shard", "shard_quota"))
+    # outer, since a plain one adds a filter on q that would make all draws once more, below the exchange
+    return out.select(F.col("s1").alias("source"), F.posexplode_outer("q").alias("shard", "shard_quota"))
 
 
 def plan(documents: DataFrame, text: str = "text", seed: int = 7, shards: int | None = None) -> DataFrame:
