@@ -92,3 +92,20 @@ def test_bloom_filter_passes_all_listed_and_few_others(spark):
     hit = F.forall("places", lambda p: F.getbit(F.get("words", F.shiftright(p, 6)), p.bitwiseAND(F.lit(63))) == 1)
     passed = {r.id for r in asked.filter(hit).collect()}
     assert set(range(2000)) <= passed and len(passed) < 2050
+
+
+def test_long_pieces_give_the_same_ids_folded():
+    import tiktoken
+
+    from weftline.llm import bpe
+
+    tokens, pattern = bpe.public_vocabulary()
+    codec, rng = bpe.Codec(tokens, pattern), np.random.default_rng(3)
+    plain = tiktoken.Encoding("plain", pat_str=pattern, mergeable_ranks={t: i for i, t in enumerate(tokens)}, special_tokens={})
+    letters = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzäß漢"), 20_000))
+    for text in ("a" * 5000, "ab" * 2500 + "c", letters, " " * 3000 + "x", "!?" * 2000, "word " + "z" * (bpe.LONG + 1) + " end"):
+        assert codec.encode(text) == plain.encode_ordinary(text)
+        assert codec.decode(codec.encode(text)).decode() == text
+    for n in (2, 255, 256, 257, 600):
+        ids = codec.table.ids[rng.choice(list(b"abeilnorst"), n)]
+        assert bpe.merge_folded(ids, codec.table).tolist() == bpe.merge_rows(ids[None].copy(), codec.table)[0].tolist()

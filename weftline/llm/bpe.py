@@ -4,7 +4,9 @@ A text is cut by the pattern; each distinct piece is encoded once for a batch. P
 need no merges. The others are padded, by length bucket, into numpy matrices of token ids; each round
 every row merges its leftmost pair of least rank, found through an open-addressing hash table of
 pairs, and is compacted by one column; rows without a pair leave. Only the two pairs beside a merge
-are looked up again.
+are looked up again. A piece of more than LONG bytes is a matrix of its own, folded into rows: the
+leftmost pair of least rank is found through the rows' minima, and cells are compacted at the end, so
+that a round does not cost the piece's length.
 
 A null text is empty: no ids. The vocabulary (about 50,000 tokens) is read on the driver and sent
 with the tasks, so executors need no file.
@@ -25,6 +27,8 @@ from weftline.llm.arrow import map_batches
 NONE = np.int32(2**31 - 1)
 #: Cells of a padded matrix, and encoded pieces that a worker remembers.
 CELLS, REMEMBER = 1 << 21, 200_000
+#: Bytes from which on a piece is folded, and cells in a row of it.
+LONG, FOLD = 1024, 256
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -104,6 +108,47 @@ def merge_rows(ids: np.ndarray, table: PairTable) -> list[np.ndarray]:
     return done
 
 
+def merge_folded(ids: np.ndarray, table: PairTable) -> np.ndarray:
+    """ids: the token ids of one long piece. The ids after all merges: the same as from merge_rows."""
+    n = len(ids)
+    size = -(-n // FOLD) * FOLD
+    rank = np.full(size, NONE, np.int32)
+    rank[: n - 1] = table.look_up(ids[:-1], ids[1:])
+    folded = rank.reshape(-1, FOLD)
+    least = folded.min(1)
+    token, after, before = ids.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+    known: dict[tuple[int, int], int] = {}
+
+    def pair(i: int) -> int:
+        """The rank of cell i with the next one; NONE for the last cell."""
+        if after[i] == n:
+            return int(NONE)
+        key = token[i], token[after[i]]
+        if key not in known:
+            known[key] = int(table.look_up(np.array(key[:1], np.int32), np.array(key[1:], np.int32))[0])
+        return known[key]
+
+    while True:
+        row = int(least.argmin())
+        best = int(least[row])
+        if best == NONE:
+            break
+        i = row * FOLD + int(folded[row].argmin())
+        gone = after[i]
+        token[i], token[gone], after[i] = best, -1, after[gone]
+        if after[i] < n:
+            before[after[i]] = i
+        rank[gone], rank[i] = NONE, pair(i)
+        changed = {row, gone // FOLD}
+        if before[i] >= 0:
+            rank[before[i]] = pair(before[i])
+            changed.add(before[i] // FOLD)
+        for r in changed:
+            least[r] = folded[r].min()
+    out = np.array(token, np.int32)
+    return out[out >= 0]
+
+
 class Codec:
     """Encode and decode with a vocabulary; remembers the pieces it has encoded, up to REMEMBER."""
 
@@ -115,7 +160,10 @@ class Codec:
     def _encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
         """By buckets of like length."""
         out: list[np.ndarray] = [np.array([], np.int32)] * len(pieces)
-        order = sorted(range(len(pieces)), key=lambda i: len(pieces[i]))
+        for i, p in enumerate(pieces):
+            if len(p) > LONG:
+                out[i] = merge_folded(self.table.ids[np.frombuffer(p, np.uint8)], self.table)
+        order = sorted((i for i, p in enumerate(pieces) if len(p) <= LONG), key=lambda i: len(pieces[i]))
         start = 0
         while start < len(order):
             bucket = 1 << (len(pieces[order[start]]) - 1).bit_length()
