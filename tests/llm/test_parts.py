@@ -84,6 +84,23 @@ def test_hypergeometric_draws(spark):
         assert abs(r["count"] / 4000 - want) < 0.001
 
 
+@pytest.mark.parametrize("n, k, d", [(40_000, 9_000, 21_000), (2_000_000, 1_995_000, 900_000), (10**15, 4 * 10**14, 10**14)])
+def test_wide_hypergeometric_draws(spark, n, k, d):
+    """Mean and spread; where it can be summed, the distribution function too."""
+    m = 20_000
+    u = F.xxhash64("id") / float(1 << 63)
+    got = np.array([r.x for r in spark.range(m).select(mixing.hypergeometric(F.lit(n).cast("long"), F.lit(k).cast("long"), F.lit(d).cast("long"), u).alias("x")).collect()])
+    mean, sd = d * k / n, math.sqrt(d * k / n * (n - k) / n * (n - d) / (n - 1))
+    assert sd > mixing.INVERTED and got.min() >= max(0, d + k - n) and got.max() <= min(d, k)
+    assert abs((got - mean).mean()) < 5 * sd / math.sqrt(m) and abs(got.std() / sd - 1) < 5 / math.sqrt(2 * m)
+    if n < 10**6:
+        x = np.arange(max(0, d + k - n), min(d, k) + 1)
+        lf = lambda a: np.array([math.lgamma(i + 1) for i in a])
+        w = -lf(x) - lf(k - x) - lf(d - x) - lf(n - k - d + x)
+        below = np.cumsum(np.exp(w - w.max()) / np.exp(w - w.max()).sum())
+        assert np.abs(np.searchsorted(np.sort(got), x, "right") / m - below).max() < 1.95 / math.sqrt(m)
+
+
 def test_bloom_filter_passes_all_listed_and_few_others(spark):
     keys = spark.range(2000).select(F.concat(F.lit("k"), "id").alias("key"))
     bloom, blocks = url_filter.build_filter(keys, 2000)

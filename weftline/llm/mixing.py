@@ -14,6 +14,8 @@ of their own. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +28,9 @@ MOST = 3
 #: Documents that a shard of one source should hold on average, and the range of the number of shards.
 SHARD_DOCS = 512
 SHARDS = (16, 4096)
+#: Up to this standard deviation a draw inverts the CDF term by term; above it, it tries points of a hat, so often at most.
+INVERTED = 20
+TRIES = 64
 
 
 def word_count(text: Column) -> Column:
@@ -76,11 +81,29 @@ def _terms(y: Column):
     return up, down
 
 
+def _log_weight(y: Column, z: Column) -> Column:
+    """Logarithm of the weight of z over that of the mode, by Stirling's series for differences, so that large numbers don't cancel out."""
+    j, m = z.cast("double") - y["m"], y["m"].cast("double")
+    rest = y["n"] - y["k"] - y["d"] + m
+
+    def beyond(base: Column, step: Column) -> Column:
+        """ln((base + step)! / base!) - step * ln(base + 1)."""
+        b, e = base + 1, base + 1 + step
+        series = lambda x: 1 / (12 * x) - 1 / (360 * x * x * x)
+        return (e - 0.5) * F.log1p(step / b) - step + series(e) - series(b)
+
+    slope = F.log((y["k"] - m + 1) / (m + 1) * ((y["d"] - m + 1) / (rest + 1)))
+    return j * slope - beyond(m, j) - beyond(y["k"] - m, -j) - beyond(y["d"] - m, -j) - beyond(rest, j)
+
+
 def hypergeometric(n: Column, left: Column, draws: Column, u: Column) -> Column:
-    """How many of ``draws`` from n blocks fall among the first ``left``: the inverse CDF at u.
+    """How many of ``draws`` from n blocks fall among the first ``left``; the cost has a bound whatever the numbers are.
 
-    Weights relative to the mode follow from the ratio of neighbouring terms, within 9 standard
-    deviations (and 12 more) of it; what lies beyond has no mass in double precision.
+    Narrow distributions invert the CDF at u: weights relative to the mode follow from the ratio of
+    neighbouring terms, within 9 standard deviations (and 12 more) of it; what lies beyond has no mass
+    in double precision. Wide ones take the first accepted point of Stadlober's ratio-of-uniforms hat
+    (1990), tried with hashes of u; each point is accepted with over 0.7, so that all TRIES fail in
+    1e-33 of draws, which take the mode.
     """
     packed = F.struct(
         n.cast("double").alias("n"), left.cast("double").alias("k"), draws.cast("double").alias("d"), u.alias("u"),
@@ -88,11 +111,25 @@ def hypergeometric(n: Column, left: Column, draws: Column, u: Column) -> Column:
     )
 
     def draw(x: Column) -> Column:
-        mean = F.try_divide(x["d"] * x["k"], x["n"])
-        spread = F.sqrt(F.greatest(F.lit(0.0), F.try_divide(mean * (x["n"] - x["k"]) * (x["n"] - x["d"]), x["n"] * F.greatest(F.lit(1.0), x["n"] - 1)))) * 9 + 12
+        total = F.greatest(F.lit(1.0), x["n"])
+        mean = x["d"] * x["k"] / total
+        variance = F.greatest(F.lit(0.0), mean * (x["n"] - x["k"]) / total * (x["n"] - x["d"]) / F.greatest(F.lit(1.0), x["n"] - 1))
+        spread = F.sqrt(variance) * 9 + 12
         mode = F.least(x["hi"], F.greatest(x["lo"], F.floor((x["d"] + 1) * (x["k"] + 1) / (x["n"] + 2))))
-        y = F.struct(*[x[c].alias(c) for c in ("n", "k", "d", "u", "lo", "hi")], mode.alias("m"), F.greatest(x["lo"], F.floor(mode - spread)).alias("a"), F.least(x["hi"], F.ceil(mode + spread)).alias("b"))
-        return F.transform(F.array(y), inverse)[0]
+        y = F.struct(*[x[c].alias(c) for c in ("n", "k", "d", "u", "lo", "hi")], mode.alias("m"), F.greatest(x["lo"], F.floor(mode - spread)).alias("a"), F.least(x["hi"], F.ceil(mode + spread)).alias("b"), (mean + 0.5).alias("centre"), variance.alias("variance"))
+        return F.transform(F.array(y), lambda y: F.when(y["variance"] > INVERTED**2, first_accepted(y)).otherwise(inverse(y)))[0]
+
+    def first_accepted(y: Column) -> Column:
+        width = F.sqrt(y["variance"] + 0.5) * (2 * math.sqrt(2 / math.e)) + (3 - 2 * math.sqrt(3 / math.e))
+
+        def attempt(i: Column) -> Column:
+            v, w = _uniform(y["u"], i, F.lit(0)), _uniform(y["u"], i, F.lit(1))
+            point = F.struct(v.alias("v"), F.floor(y["centre"] + width * (w - 0.5) / v).alias("z"))
+            inside = lambda p: (p["z"] >= y["lo"]) & (p["z"] <= y["hi"])
+            return F.transform(F.array(point), lambda p: F.when(inside(p), F.when(2 * F.log(p["v"]) <= _log_weight(y, p["z"]), p["z"])))[0]
+
+        found = F.aggregate(F.sequence(F.lit(1), F.lit(TRIES)), F.lit(None).cast("bigint"), lambda found, i: F.coalesce(found, attempt(i)))
+        return F.coalesce(found, y["m"])
 
     def inverse(y: Column) -> Column:
         start = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("s"))
@@ -133,7 +170,7 @@ def split_quota(per: DataFrame, quotas: DataFrame, levels: int, seed: int) -> Da
     running = F.coalesce(F.sum("blocks").over(Window.partitionBy("s1").orderBy("h1")), F.lit(0))
     one = full.select("s1", "quota", F.struct("h1", running.alias("c")).alias("x")).groupBy("s1", "quota").agg(F.sort_array(F.collect_list("x")).alias("xs"))
     out = one.select("s1", F.array_prepend(F.transform("xs", lambda x: x["c"]), F.lit(0).cast("long")).alias("cum"), F.array("quota").alias("q"))
-    # sources are few and their draws take time: a task for each, which adaptive execution leaves alone; by s1 alone it would be taken for the partitioning that is there
+    # a task for each source, which adaptive execution leaves alone; by s1 alone it would be taken for the partitioning that is there
     out = out.repartition(int(quotas.sparkSession.conf.get("spark.sql.shuffle.partitions")), "s1", "cum")
     for level in range(levels):
         width = shards >> level
