@@ -13,13 +13,15 @@ from weftline.session import materialize
 from weftline.settings import BlockingParams
 from weftline.sources import fixtures
 
+#: What the SQL of the plain names states, for small tables; and the reference's default, for the names with FULL's suffix and for what has no SQL.
 PARAMS = BlockingParams(max_block_size=LIMIT, stage3_stopwords=STOP)
+FULL = BlockingParams(max_block_size=200, stage3_stopwords=STOP)
 
 
 class Chain:
     """The stages over one folder, each built on first use."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, params: BlockingParams = PARAMS):
+    def __init__(self, spark: SparkSession, sf_dir: str, params: BlockingParams = FULL):
         self.comp, self.p = fixtures.comp_part(spark, sf_dir), params
 
     def __getattr__(self, name: str):
@@ -54,9 +56,53 @@ def _ml(c: Chain) -> DataFrame:
     return model.score(fitted, fills, c.features)
 
 
+def _chained() -> dict:
+    """Queries of the chain by name, each a function of it."""
+    return {
+        "blocks_stage1": lambda c: blocking.stage1_blocks(c.comp, c.p),
+        "blocks_adaptive": lambda c: c.adaptive.blocks,
+        "blocks_heavy": lambda c: c.adaptive.heavy,
+        "blocks_refinement_log": lambda c: c.adaptive.log,
+        "stage3_tokens": lambda c: c.adaptive.tokens.select("company_id", "country", "tok", "df"),
+        "pairs_with_kind": lambda c: c.kinded,
+        "pairs_capped": lambda c: c.pairs,
+        "pair_features": lambda c: c.features,
+        "features_shard_union": _shard_union,
+        "weak_labels": lambda c: matching.weak_labels(c.features),
+        "pair_scores_linear": lambda c: c.scores,
+        "scored_view": lambda c: matching.scored_view(c.features, c.scores),
+        "pair_matches": lambda c: c.matches,
+        "pair_labels": lambda c: c.labels,
+        "entities": lambda c: c.entities,
+        "resolved": lambda c: c.resolved,
+        "votes": lambda c: c.votes,
+        "cascade": lambda c: c.cascade,
+        "decision_counts": lambda c: stats.decision_counts(c.cascade),
+        "ambiguous_pairs": lambda c: matching.ambiguous(matching.scored_view(c.features, c.scores)).select("company_id_a", "company_id_b", "model_score"),
+        "q_block_stats": lambda c: stats.block_stats(c.adaptive.blocks),
+        "q_top_heavy": lambda c: stats.top_heavy(c.adaptive.heavy),
+        "q_overlap": lambda c: stats.overlap_summary(c.adaptive.blocks),
+        "q_kind_pairs": lambda c: stats.kind_overlap(c.adaptive.blocks),
+        "q_score_stats": lambda c: stats.score_stats(c.features, c.scores),
+        "q_label_counts": lambda c: stats.label_counts(c.labels),
+        "q_match_stats": lambda c: stats.match_stats(c.matches, c.labels, c.entities),
+        "q_resolved_summary": lambda c: stats.resolved_summary(c.entities, c.resolved),
+        "q_pair_sanity": lambda c: stats.pair_sanity(c.kinded),
+        "q_missing": lambda c: stats.missing_in_pairs(c.pairs, c.comp),
+        "q_orphan": lambda c: stats.orphans_in_pairs(c.pairs, c.comp),
+        "q_domain_exact_total": lambda c: stats.domain_exact_total(c.features),
+        "q_blocking_stats_overall": lambda c: stats.blocking_overall(c.sizes, c.comp, c.p.max_block_size, c.pairs),
+        "q_blocking_stats_by_kind": lambda c: stats.blocking_by_kind(c.sizes, c.p.max_block_size),
+        "q_block_sizes": lambda c: c.sizes,
+        "q_top_kept": lambda c: stats.top_kept(c.sizes, c.p.max_block_size),
+        "q_stage_counts": lambda c: stats.stage_counts({"companies": c.comp, "blocks": c.adaptive.blocks, "pairs": c.pairs, "features": c.features, "scores": c.scores, "entities": c.entities}),
+        "q_dupes": lambda c: stats.duplicate_pairs(c.kinded),
+    }
+
+
 def queries() -> dict:
-    def q(f, **params):
-        return lambda spark, sf_dir: f(Chain(spark, sf_dir, **params))
+    def q(f, params):
+        return lambda spark, sf_dir: f(Chain(spark, sf_dir, params))
 
     def cleaned(source):
         return lambda spark, sf_dir: clean.clean_companies(source(spark, sf_dir))
@@ -65,46 +111,9 @@ def queries() -> dict:
     return {
         "clean_pages": pages,
         "clean_customer": cleaned(fixtures.bronze_customer),
-        "blocks_stage1": q(lambda c: blocking.stage1_blocks(c.comp, c.p)),
-        "blocks_adaptive": q(lambda c: c.adaptive.blocks),
-        "blocks_adaptive_200": q(lambda c: c.adaptive.blocks, params=BlockingParams(max_block_size=200, stage3_stopwords=STOP)),
-        "blocks_heavy": q(lambda c: c.adaptive.heavy),
-        "blocks_refinement_log": q(lambda c: c.adaptive.log),
-        "stage3_tokens": q(lambda c: c.adaptive.tokens.select("company_id", "country", "tok", "df")),
-        "pairs_with_kind": q(lambda c: c.kinded),
-        "pairs_capped": q(lambda c: c.pairs),
-        "pair_features": q(lambda c: c.features),
-        "features_shard_union": q(_shard_union),
-        "weak_labels": q(lambda c: matching.weak_labels(c.features)),
-        "pair_scores_linear": q(lambda c: c.scores),
-        "pair_scores_ml": q(_ml),
-        "scored_view": q(lambda c: matching.scored_view(c.features, c.scores)),
-        "pair_matches": q(lambda c: c.matches),
-        "pair_labels": q(lambda c: c.labels),
-        "entities": q(lambda c: c.entities),
-        "resolved": q(lambda c: c.resolved),
-        "votes": q(lambda c: c.votes),
-        "cascade": q(lambda c: c.cascade),
-        "decision_counts": q(lambda c: stats.decision_counts(c.cascade)),
-        "ambiguous_pairs": q(lambda c: matching.ambiguous(matching.scored_view(c.features, c.scores)).select("company_id_a", "company_id_b", "model_score")),
-        "q_block_stats": q(lambda c: stats.block_stats(c.adaptive.blocks)),
-        "q_top_heavy": q(lambda c: stats.top_heavy(c.adaptive.heavy)),
-        "q_overlap": q(lambda c: stats.overlap_summary(c.adaptive.blocks)),
-        "q_kind_pairs": q(lambda c: stats.kind_overlap(c.adaptive.blocks)),
-        "q_score_stats": q(lambda c: stats.score_stats(c.features, c.scores)),
-        "q_label_counts": q(lambda c: stats.label_counts(c.labels)),
-        "q_match_stats": q(lambda c: stats.match_stats(c.matches, c.labels, c.entities)),
-        "q_resolved_summary": q(lambda c: stats.resolved_summary(c.entities, c.resolved)),
-        "q_pair_sanity": q(lambda c: stats.pair_sanity(c.kinded)),
-        "q_missing": q(lambda c: stats.missing_in_pairs(c.pairs, c.comp)),
-        "q_orphan": q(lambda c: stats.orphans_in_pairs(c.pairs, c.comp)),
-        "q_domain_exact_total": q(lambda c: stats.domain_exact_total(c.features)),
-        "q_blocking_stats_overall": q(lambda c: stats.blocking_overall(c.sizes, c.comp, c.p.max_block_size, c.pairs)),
-        "q_blocking_stats_by_kind": q(lambda c: stats.blocking_by_kind(c.sizes, c.p.max_block_size)),
-        "q_block_sizes": q(lambda c: c.sizes),
-        "q_top_kept": q(lambda c: stats.top_kept(c.sizes, c.p.max_block_size)),
-        "q_stage_counts": q(lambda c: stats.stage_counts({"companies": c.comp, "blocks": c.adaptive.blocks, "pairs": c.pairs, "features": c.features, "scores": c.scores, "entities": c.entities})),
-        "q_dupes": q(lambda c: stats.duplicate_pairs(c.kinded)),
+        **{name: q(f, PARAMS) for name, f in _chained().items()},
+        **{f"{name}_{FULL.max_block_size}": q(f, FULL) for name, f in _chained().items()},
+        "pair_scores_ml": q(_ml, FULL),
         "q_quality": lambda spark, sf_dir: stats.silver_quality(pages(spark, sf_dir)),
     }
 
