@@ -3,7 +3,10 @@
 k-mers are runs of five words, labelled with their occurrence number in the text. Each of SKETCHES
 hash functions samples the LEAST k-mers of smallest hash and keeps them in text order, so a sketch
 agrees only where several k-mers agree and stand in the same order: it follows edit similarity, not
-only overlap. Texts that share a sketch are candidates.
+only overlap. A second set samples two of the runs of three words, which more edits leave whole. Texts
+that share a sketch are candidates. So are texts of up to SHORT words, which have few k-mers, if they
+share a segment: the longer one is cut into one segment more than it may have edits, so that one of
+them stands in the other text, moved by no more places than that; no pair of these is missed.
 
 Similarity is 1 - edit distance in words / words of the longer text, and a link needs 0.8. It is
 decided by alignment within a band of the diagonals that such a distance can reach (furthest-reaching
@@ -34,20 +37,26 @@ from weftline.session import materialize
 WORDS, SIMILARITY = 5, 0.8
 #: Hash functions, and k-mers sampled by each.
 SKETCHES, LEAST = 16, 3
+#: Sets of hash functions: words of a k-mer, k-mers sampled by each, and functions. Their number in all.
+SETS = ((WORDS, LEAST, SKETCHES), (3, 2, 24))
+ALL = sum(n for _, _, n in SETS)
+#: Words of the longer text up to which candidates are exact.
+SHORT = 16
 #: Members of a block where a bucket's pairs are compared.
 BLOCK = 256
-_SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_SEEDS = mix(np.arange(1, ALL + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _STEP = mix(np.arange(100, 100 + WORDS, dtype=np.uint64)) | np.uint64(1)
+_SHORT_STEP = mix(np.arange(200, 200 + SHORT, dtype=np.uint64)) | np.uint64(1)
 
 
-def kmers(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def kmers(h: np.ndarray, n: np.ndarray, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the k-mers of all texts, occurrence-labelled, and their number for each text. h: word hashes, n: words of each text."""
-    count = np.where(n >= WORDS, n - WORDS + 1, (n > 0).astype(n.dtype))
+    count = np.where(n >= size, n - size + 1, (n > 0).astype(n.dtype))
     first = np.repeat(np.cumsum(n) - n, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    padded = np.concatenate([h, np.zeros(WORDS, np.uint64)])
+    padded = np.concatenate([h, np.zeros(size, np.uint64)])
     last = np.repeat(np.cumsum(n), count)
     x = np.zeros(len(first), np.uint64)
-    for k in range(WORDS):
+    for k in range(size):
         x += np.where(first + k < last, padded[first + k], np.uint64(0)) * _STEP[k]
     x = mix(x)
     text = np.repeat(np.arange(len(n)), count)
@@ -60,29 +69,60 @@ def kmers(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mix(x + occurrence * np.uint64(0xC2B2AE3D27D4EB4F)), count
 
 
-def sketches(texts: list[bytes]) -> list[np.ndarray]:
-    """SKETCHES values for each text, none for a text without words."""
+def _sampled(h: np.ndarray, n: np.ndarray, size: int, least: int, seeds: np.ndarray) -> list[np.ndarray]:
+    """A value of each hash function for each text, none for a text without words."""
     out = []
-    for a, b in groups(texts):
-        g, count = kmers(*words(texts[a:b]))
-        end = 0
-        for c in count.tolist():
-            start, end = end, end + c
-            if not c:
-                out.append(np.array([], np.int64))
+    g, count = kmers(h, n, size)
+    end = 0
+    for c in count.tolist():
+        start, end = end, end + c
+        if not c:
+            out.append(np.array([], np.int64))
+            continue
+        x = g[start:end]
+        v = (x[None, :] ^ seeds[:, None]) * np.uint64(0xD6E8FEB86659FD93)
+        v ^= v >> np.uint64(32)
+        v *= np.uint64(0xD6E8FEB86659FD93)
+        if c > least:
+            at = np.sort(np.argpartition(v, least - 1, 1)[:, :least], 1)
+        else:
+            at = np.broadcast_to(np.arange(c), (len(seeds), c))
+        total = seeds.copy()
+        for k in range(at.shape[1]):
+            total = mix(total + x[at[:, k]])
+        out.append(total.view(np.int64))
+    return out
+
+
+def segments(h: np.ndarray, limit: float = SIMILARITY) -> np.ndarray:
+    """Keys of the segments of a text of up to SHORT words, as the longer text of a pair or the shorter one; none for a longer text."""
+    n, keys = len(h), []
+    for longer in range(n, min(SHORT, int(n / limit + 1e-9)) + 1 if n else 0):
+        most = int(np.floor((1 - limit) * longer + 1e-9))
+        for i in range(most + 1 if most else 0):
+            first, after = longer * i // (most + 1), longer * (i + 1) // (most + 1)
+            low, high, size = max(0, first - most), min(n - after + first, first + most), after - first
+            if low > high:
                 continue
-            x = g[start:end]
-            v = (x[None, :] ^ _SEEDS[:, None]) * np.uint64(0xD6E8FEB86659FD93)
-            v ^= v >> np.uint64(32)
-            v *= np.uint64(0xD6E8FEB86659FD93)
-            if c > LEAST:
-                at = np.sort(np.argpartition(v, LEAST - 1, 1)[:, :LEAST], 1)
-            else:
-                at = np.broadcast_to(np.arange(c), (SKETCHES, c))
-            total = _SEEDS.copy()
-            for k in range(at.shape[1]):
-                total = mix(total + x[at[:, k]])
-            out.append(total.view(np.int64))
+            x = np.full(high - low + 1, longer * SHORT + i, np.uint64)
+            for k in range(size):
+                x += h[low + k : high + k + 1] * _SHORT_STEP[k]
+            keys.append(mix(x))
+    return np.unique(np.concatenate(keys)).view(np.int64) if keys else np.array([], np.int64)
+
+
+def sketches(texts: list[bytes], limit: float = SIMILARITY) -> list[np.ndarray]:
+    """ALL values for each text, then those of a short text's segments; none for a text without words."""
+    out = []
+    for a, b in groups(texts):
+        h, n = words(texts[a:b])
+        parts, done = [], 0
+        for size, least, functions in SETS:
+            parts.append(_sampled(h, n, size, least, _SEEDS[done : done + functions]))
+            done += functions
+        ends = np.cumsum(n).tolist()
+        parts.append([segments(h[y - x : y], limit) if x <= SHORT else np.array([], np.int64) for x, y in zip(n.tolist(), ends)])
+        out += [np.concatenate(x) for x in zip(*parts)]
     return out
 
 
@@ -186,7 +226,7 @@ def _rest(limit: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         t = int(pdf["t"].iloc[0])
         seqs = [_numbers(x) for x in pdf["seq"]]
-        sketch, node, side = np.stack(pdf["sketches"].to_numpy()), pdf["node"].to_numpy(), pdf["side"].to_numpy()
+        sketch, node, side = np.stack([x[:ALL] for x in pdf["sketches"]]), pdf["node"].to_numpy(), pdf["side"].to_numpy()
         names, group = np.unique(pdf["component"].to_numpy(), return_inverse=True)
         size = np.array([len(x) for x in seqs])
         found = []
@@ -211,13 +251,14 @@ def classes(documents: DataFrame, text: str = "text", key: str = "doc_id", limit
 
     def run(batches):
         for b in batches:
-            found = sketches(utf8(b.column("text")))
+            found = sketches(utf8(b.column("text")), limit)
             yield pa.RecordBatch.from_arrays([b.column("key"), b.column("node"), pa.array(found, pa.list_(pa.int64()))], names=["key", "node", "sketches"])
 
     kind = dict(documents.dtypes)[key]
     sketched = materialize(map_batches(rows.select("key", "node", "text"), run, f"key {kind}, node string, sketches array<long>"))
     nodes = materialize(sketched.groupBy("node").agg(F.first("sketches").alias("sketches")))
-    members = nodes.select("node", F.posexplode("sketches").alias("t", "s"))
+    # all segments count as one sketch, the last
+    members = nodes.select("node", F.posexplode("sketches").alias("t", "s")).withColumn("t", F.least("t", F.lit(ALL)))
     # tables of their own, here and below, so that both sides of a join are plain exchanges and a frequent value can be split
     pivots = materialize(members.groupBy("t", "s").agg(F.min("node").alias("pivot"), F.max("node").alias("other")).filter("pivot <> other").select("t", "s", "pivot"))
     pairs = materialize(members.join(pivots, ["t", "s"]).filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
