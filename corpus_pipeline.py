@@ -53,7 +53,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_carried
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn to the sources' targets; a document may occur up to three times, the last time in part."""
+    """Documents drawn to the sources' targets; a document may occur up to three times, each time whole."""
     return _counted(mixing.mix(docs))
 
 

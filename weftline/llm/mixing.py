@@ -218,8 +218,10 @@ def plan_sizes(sized: DataFrame, seed: int = 7, shards: int | None = None) -> Da
 
 
 def mix(documents: DataFrame, text: str = "text", seed: int = 7) -> DataFrame:
-    """The mixed documents: a row for each pass over a document, and one with its first words for a part; shuffled within shards by place.
+    """The mixed documents: a row for each pass over a document; shuffled within shards by place.
 
+    No document is cut. The last one drawn in a shard of a source, of which the quota covers a part, is taken whole with
+    a probability of that part, so what is taken of a source meets its target on average, off by such documents only.
     Plan and texts meet on a hash of (doc_id, source, size) and a number among equal ones, so repeated rows pair off one to one.
     """
     columns = documents.columns
@@ -227,11 +229,8 @@ def mix(documents: DataFrame, text: str = "text", seed: int = 7) -> DataFrame:
     planned = plan(documents, text, seed).withColumn("_key", F.xxhash64("doc_id", "source", "size"))
     planned = planned.withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy("shard", "place"))).select("_key", "_nth", "size", "shard", "place", "passes", "part")
     both = sized.withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy(text))).join(planned, ["_key", "_nth"])
-    whole = F.col("passes") + ((F.col("part") == F.col("size")) & (F.col("size") > 0)).cast("long")
-    pieces = F.filter(F.split(F.col(text), SPACE), lambda w: w != "")
-    part = F.when((F.col("part") > 0) & (F.col("part") < F.col("size")), F.array_join(F.slice(pieces, 1, F.col("part").cast("int")), " "))
-    copies = F.when(whole > 0, F.array_repeat(F.col(text), whole.cast("int"))).otherwise(F.array_repeat(F.col(text), 0))
-    texts = F.concat(copies, F.filter(F.array(part), lambda x: x.isNotNull()))
+    drawn = (F.col("size") > 0) & (_uniform(F.col("_key"), F.col("_nth"), F.lit(seed)) * F.col("size") < F.col("part"))
+    texts = F.array_repeat(F.col(text), (F.col("passes") + drawn.cast("long")).cast("int"))
     rows = both.select(*[c for c in columns if c != text], "shard", "place", F.explode(texts).alias(text))
     return rows.sortWithinPartitions("shard", "place").select(*columns)
 
