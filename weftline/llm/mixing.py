@@ -218,7 +218,7 @@ def plan_sizes(sized: DataFrame, seed: int = 7, shards: int | None = None) -> Da
 
 
 def mix(documents: DataFrame, text: str = "text", seed: int = 7) -> DataFrame:
-    """The mixed documents: a row for each pass over a document; shuffled within shards by place.
+    """The mixed documents: a row for each pass over a document. A task holds whole output shards, each shuffled by a hash of document and copy.
 
     No document is cut. The last one drawn in a shard of a source, of which the quota covers a part, is taken whole with
     a probability of that part, so what is taken of a source meets its target on average, off by such documents only.
@@ -231,8 +231,8 @@ def mix(documents: DataFrame, text: str = "text", seed: int = 7) -> DataFrame:
     both = sized.withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy(text))).join(planned, ["_key", "_nth"])
     drawn = (F.col("size") > 0) & (_uniform(F.col("_key"), F.col("_nth"), F.lit(seed)) * F.col("size") < F.col("part"))
     texts = F.array_repeat(F.col(text), (F.col("passes") + drawn.cast("long")).cast("int"))
-    rows = both.select(*[c for c in columns if c != text], "shard", "place", F.explode(texts).alias(text))
-    return rows.sortWithinPartitions("shard", "place").select(*columns)
+    rows = both.select(*[c for c in columns if c != text], "shard", "_key", "_nth", F.posexplode(texts).alias("_copy", text))
+    return rows.repartition("shard").sortWithinPartitions("shard", F.xxhash64("_key", "_nth", "_copy", F.lit(seed))).select(*columns)
 
 
 def op10_mixing(documents: DataFrame) -> DataFrame:
