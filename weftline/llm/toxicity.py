@@ -6,14 +6,18 @@ the earlier ones. In training these come out of fold, so that a later
 model meets earlier predictions as they are on unseen texts. The threshold of the last category is
 the one with the best F1 out of fold.
 
-Models are fitted on the driver with numpy, on at most SAMPLE labelled rows in hash order, the one
-bound here; every text is scored, whole. A null or empty text has no words and gets the models'
+Models are fitted on the driver with numpy, each on the rows where its category is known: at most
+SAMPLE labelled rows in hash order of each combination of known categories, the one bound here; every
+text is scored, whole. A null or empty text has no words and gets the models'
 intercepts. Labels that are null, or whose document is absent, are not used. Without labelled rows
-of both kinds a category's probability is its share among the labelled rows, 0 without any.
+of both kinds a category's probability is its share among the labelled rows, 0 without any. If no
+row of the last category could be scored out of fold by a model that had seen another one, there is
+nothing to set a threshold by, and no document is rejected.
 """
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,6 +27,7 @@ from pyspark.sql import functions as F
 
 from weftline.llm.arrow import map_batches
 from weftline.llm.textnum import NON_WORDS, groups, utf8, words
+from weftline.session import materialize
 
 #: Labelled rows to fit on, at most; buckets of hashed words; folds.
 SAMPLE, BUCKETS, FOLDS = 8000, 1 << 22, 3
@@ -139,30 +144,41 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
 
 
 def fit_chain(bucket: np.ndarray, counts: np.ndarray, labels: np.ndarray, fold: np.ndarray, names: list[str]) -> Chain:
-    """labels: a column for each category, in the chain's order."""
+    """labels: a column for each category, in the chain's order; NaN where it is not known."""
     n = len(counts)
     row = np.repeat(np.arange(n), counts)
     out_of_fold, models = np.zeros((n, 0)), []
     for c in range(len(names)):
         y, before = labels[:, c].astype(float), _log_odds(out_of_fold)
-        unseen = np.zeros(n)
+        known = ~np.isnan(y)
+        unseen, fair = np.zeros(n), np.zeros(n, bool)
         for k in range(FOLDS):
-            train, test = fold != k, fold == k
+            train, test = known & (fold != k), fold == k
             new = np.cumsum(train) - 1
             on = train[row]
             part = fit_linear(bucket[on], new[row[on]], int(train.sum()), before[train], y[train])
+            fair |= test & known & (y[train] > 0).any()
             new = np.cumsum(test) - 1
             on = test[row]
             unseen[test] = part.predict(bucket[on], new[row[on]], int(test.sum()), before[test])
-        models.append(fit_linear(bucket, row, n, before, y))
+        new = np.cumsum(known) - 1
+        on = known[row]
+        models.append(fit_linear(bucket[on], new[row[on]], int(known.sum()), before[known], y[known]))
         out_of_fold = np.column_stack([out_of_fold, unseen])
-    return Chain(names, models, best_threshold(out_of_fold[:, -1], labels[:, -1].astype(float)))
+    return Chain(names, models, best_threshold(out_of_fold[known, -1], y[known]) if y[fair].any() else float("inf"))
 
 
 def train(documents: DataFrame, labels: DataFrame, text: str = "text", chain=CHAIN, sample: int = SAMPLE) -> Chain:
     """Only the sample's buckets reach the driver, BUCKETS for each row at most."""
-    known = labels.filter(" AND ".join(f"({e}) IS NOT NULL" for _, e in chain)).select(F.col("doc_id"), *[F.expr(e).alias(f"y_{c}") for c, e in chain])
-    drawn = known.orderBy(F.xxhash64("doc_id"), "doc_id", *[f"y_{c}" for c, _ in chain]).limit(sample)
+    known = labels.select(F.col("doc_id"), *[F.expr(e).alias(f"y_{c}") for c, e in chain]).filter(" OR ".join(f"y_{c} IS NOT NULL" for c, _ in chain))
+    # what has a document, so that other labels don't use up the sample
+    known = materialize(known.join(documents.select("doc_id"), "doc_id", "left_semi"))
+    drawn = None
+    for combination in itertools.product((True, False), repeat=len(chain)):
+        if any(combination):
+            some = known.filter(" AND ".join(f"y_{c} IS {'NOT ' if on else ''}NULL" for (c, _), on in zip(chain, combination)))
+            some = some.orderBy(F.xxhash64("doc_id"), "doc_id", *[f"y_{c}" for c, _ in chain]).limit(sample)
+            drawn = some if drawn is None else drawn.unionByName(some)
     rows = documents.select("doc_id", F.col(text).alias("text")).join(drawn, "doc_id")
     names = [c for c, _ in chain]
 
@@ -178,7 +194,7 @@ def train(documents: DataFrame, labels: DataFrame, text: str = "text", chain=CHA
     flat = got["buckets"].combine_chunks()
     bucket = flat.flatten().to_numpy() if got.num_rows else np.array([], np.int32)
     counts = flat.value_lengths().to_numpy() if got.num_rows else np.array([], np.int64)
-    y = np.column_stack([np.array(got[f"y_{c}"].to_pylist(), dtype=bool) for c in names]) if got.num_rows else np.zeros((0, len(names)), bool)
+    y = np.column_stack([np.array(got[f"y_{c}"].to_pylist(), dtype=float) for c in names]) if got.num_rows else np.zeros((0, len(names)))
     return fit_chain(bucket, counts, y, np.arange(len(counts)) % FOLDS, names)
 
 
