@@ -53,21 +53,25 @@ def groups(texts: list[bytes], limit: int = TOGETHER) -> Iterator[tuple[int, int
 
 
 def prefix_hash(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """P with hash of data[a:b] = (P[b] - P[a]) * inverse[a], and inverse."""
+    """P with hash of data[a:b] = (P[b] - P[a]) * inverse[a], and inverse. data: bytes, or 64-bit hashes of words."""
     power, inverse = powers(len(data))
     p = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * power[: len(data)], out=p[1:])
+    np.cumsum((_BYTE[data] if data.dtype == np.uint8 else data) * power[: len(data)], out=p[1:])
     return p, inverse
 
 
-def words(texts: list[bytes], separators: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, A-Z in lower case, and the number of words of each text."""
-    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    data = _LOWER[data]
+def edges(data: np.ndarray, separators: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words in an array of bytes."""
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = ~separators[data]
     edge = np.diff(inside)
-    start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+def words(texts: list[bytes], separators: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, A-Z in lower case, and the number of words of each text."""
+    data = _LOWER[np.frombuffer(b" ".join(texts) + b" ", np.uint8)]
+    start, stop = edges(data, separators)
     p, inverse = prefix_hash(data)
     ends = np.cumsum([len(t) + 1 for t in texts])
     return mix((p[stop] - p[start]) * inverse[start]), np.diff(np.searchsorted(start, np.concatenate([[0], ends])))
