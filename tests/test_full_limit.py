@@ -1,4 +1,4 @@
-"""The chain at the reference's block limit of 200, against the SQL with that limit in place of 6."""
+"""The chain at its default block limit against SQL where blocks are large, and that the small limit is only for the names that say so."""
 
 import pytest
 
@@ -6,7 +6,7 @@ from tests.compare import duck, same
 from weftline.plans import catalog, oracle
 
 SF = "/root/testdata/sf0.01"
-NAMES = ("blocks_stage1", "pairs_with_kind", "pairs_capped", "pair_features", "entities", "resolved", "q_match_stats", "q_blocking_stats_overall", "q_stage_counts")
+NAMES = ("blocks_stage1", "pairs_with_kind", "pairs_capped", "pair_features", "entities", "resolved", "q_match_stats", "q_blocking_stats_overall", "q_stage_counts", "resolved_6", "blocks_heavy_6", "stage3_tokens_6")
 
 
 @pytest.fixture(scope="module")
@@ -14,20 +14,15 @@ def con():
     return duck(SF)
 
 
-def at_200(sql: str) -> str:
-    return sql.replace(f"BETWEEN 2 AND {oracle.LIMIT}", "BETWEEN 2 AND 200").replace(f"n > {oracle.LIMIT}", "n > 200")
-
-
 @pytest.mark.parametrize("name", NAMES)
-def test_full_query_equals_sql(spark, con, name):
-    assert same(catalog.queries()[f"{name}_200"](spark, SF), con, at_200(oracle.oracle_sql()[name])) == ""
+def test_query_equals_sql_on_large_blocks(spark, con, name):
+    assert same(catalog.queries()[name](spark, SF), con, oracle.oracle_sql()[name]) == ""
 
 
-def test_every_chain_query_has_its_full_form(spark):
-    names = set(catalog.queries())
-    assert {f"{n}_200" for n in catalog._chained()} <= names and catalog.FULL.max_block_size == 200
+def test_plain_names_have_the_default_limit(spark):
+    assert catalog.PARAMS.max_block_size == 200 == catalog.Chain(spark, SF).p.max_block_size
+    assert catalog.queries()["blocks_heavy_6"](spark, SF).count() > 0
 
 
-def test_entry_and_model_keep_large_blocks(spark):
-    assert catalog.Chain(spark, SF).p.max_block_size == 200
-    assert catalog.queries()["pair_scores_ml"](spark, SF).count() == catalog.queries()["pairs_capped_200"](spark, SF).count()
+def test_model_scores_all_pairs(spark):
+    assert catalog.queries()["pair_scores_ml"](spark, SF).count() == catalog.queries()["pairs_capped"](spark, SF).count()

@@ -8,20 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.operators import blocking, canonical, clean, features, matching, model, pairs, stats
-from weftline.plans.oracle import CAP, LIMIT, STOP
+from weftline.plans.oracle import ALSO_SMALL, CAP, LIMIT, SMALL, STOP
 from weftline.session import materialize
 from weftline.settings import BlockingParams
 from weftline.sources import fixtures
 
-#: What the SQL of the plain names states, for small tables; and the reference's default, for the names with FULL's suffix and for what has no SQL.
+#: The reference's default, and a limit at which small tables have heavy blocks too.
 PARAMS = BlockingParams(max_block_size=LIMIT, stage3_stopwords=STOP)
-FULL = BlockingParams(max_block_size=200, stage3_stopwords=STOP)
+SMALL_PARAMS = BlockingParams(max_block_size=SMALL, stage3_stopwords=STOP)
 
 
 class Chain:
     """The stages over one folder, each built on first use."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, params: BlockingParams = FULL):
+    def __init__(self, spark: SparkSession, sf_dir: str, params: BlockingParams = PARAMS):
         self.comp, self.p = fixtures.comp_part(spark, sf_dir), params
 
     def __getattr__(self, name: str):
@@ -35,6 +35,7 @@ class Chain:
             "matches": lambda: matching.decide(self.scores),
             "labels": lambda: matching.labels(self.matches),
             "entities": lambda: materialize(matching.entities(self.matches)),
+            "everyone": lambda: materialize(matching.entities(self.matches, self.comp)),
             "resolved": lambda: canonical.resolve(self.entities, self.comp),
             "votes": lambda: matching.votes(self.features),
             "cascade": lambda: matching.cascade(self.scores, self.votes),
@@ -74,8 +75,11 @@ def _chained() -> dict:
         "pair_matches": lambda c: c.matches,
         "pair_labels": lambda c: c.labels,
         "entities": lambda c: c.entities,
+        "entities_with_singletons": lambda c: c.everyone,
         "resolved": lambda c: c.resolved,
+        "resolved_with_singletons": lambda c: canonical.resolve(c.everyone, c.comp),
         "votes": lambda c: c.votes,
+        "votes_table": lambda c: matching.votes_table(matching.ambiguous(matching.scored_view(c.features, c.scores))),
         "cascade": lambda c: c.cascade,
         "decision_counts": lambda c: stats.decision_counts(c.cascade),
         "ambiguous_pairs": lambda c: matching.ambiguous(matching.scored_view(c.features, c.scores)).select("company_id_a", "company_id_b", "model_score"),
@@ -112,11 +116,13 @@ def queries() -> dict:
         "clean_pages": pages,
         "clean_customer": cleaned(fixtures.bronze_customer),
         **{name: q(f, PARAMS) for name, f in _chained().items()},
-        **{f"{name}_{FULL.max_block_size}": q(f, FULL) for name, f in _chained().items()},
-        "pair_scores_ml": q(_ml, FULL),
+        **{f"{name}_{SMALL}": q(_chained()[name], SMALL_PARAMS) for name in ALSO_SMALL},
+        "pair_scores_ml": q(_ml, PARAMS),
         "q_quality": lambda spark, sf_dir: stats.silver_quality(pages(spark, sf_dir)),
     }
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Chain(spark, sf_dir).resolved.select("entity_id", "sources_count", "domain", "country", "city", "name", F.col("employees_avg"))
+    """Companies to resolved records, those without a match too."""
+    c = Chain(spark, sf_dir)
+    return canonical.resolve(c.everyone, c.comp).select("entity_id", "sources_count", "domain", "country", "city", "name", "employees_avg")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-LIMIT, CAP, STOP = 6, 200, ("red", "blue")
+#: Rows of a block at most: the reference's default, and one at which small tables have heavy blocks. Pairs of a company at most. Words left out.
+LIMIT, SMALL, CAP, STOP = 200, 6, 200, ("red", "blue")
 
 _COMP = """comp AS (
   SELECT CAST(p_partkey AS BIGINT) company_id, lower(p_name) company_name,
@@ -99,7 +100,7 @@ resolved AS (SELECT entity_id, sources_count, "domain", country, city, nm "name"
 esize AS (SELECT entity_id, count(*) n FROM entity GROUP BY entity_id)"""
 
 
-def _with(final: str, depth: int, limit: int = LIMIT) -> str:
+def _with(final: str, depth: int, limit: int) -> str:
     """depth: 1 companies, 2 blocks, 3 pairs, 4 features, 5 matches."""
     parts = [_COMP, _BASE + ",\n" + _blocks(limit), _PAIRS, _features(), _MATCH][:depth]
     return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + final
@@ -127,64 +128,94 @@ _CUSTOMER = f"SELECT CAST(c_custkey AS BIGINT) company_id, c_name nm, CAST(NULL
 
 _B = "CAST({} AS BIGINT)"
 _SIZES = "(SELECT kind, bkey, CAST(count(*) AS BIGINT) n FROM raw1 GROUP BY kind, bkey)"
-_COUNTS = f"CAST(count(*) AS BIGINT) blocks_all, CAST(count(*) FILTER (n BETWEEN 2 AND {LIMIT}) AS BIGINT) blocks_kept, CAST(count(*) FILTER (n > {LIMIT}) AS BIGINT) blocks_heavy, CAST(count(*) FILTER (n < 2) AS BIGINT) blocks_single"
-_EST = f"CAST(coalesce(sum(n * (n - 1) // 2) FILTER (n BETWEEN 2 AND {LIMIT}), 0) AS BIGINT) est_pairs"
+
+
+def _counts(limit: int) -> str:
+    return f"CAST(count(*) AS BIGINT) blocks_all, CAST(count(*) FILTER (n BETWEEN 2 AND {limit}) AS BIGINT) blocks_kept, CAST(count(*) FILTER (n > {limit}) AS BIGINT) blocks_heavy, CAST(count(*) FILTER (n < 2) AS BIGINT) blocks_single"
+
+
+def _est(limit: int) -> str:
+    return f"CAST(coalesce(sum(n * (n - 1) // 2) FILTER (n BETWEEN 2 AND {limit}), 0) AS BIGINT) est_pairs"
+
+
 _BSTATS = "SELECT count(*) blocks_total, max(n) block_max, avg(n) block_avg, quantile_cont(n, 0.9) block_p90, CAST(sum(n * (n - 1) // 2) AS BIGINT) est_pairs FROM (SELECT kind, bkey, count(*) n FROM blocks GROUP BY kind, bkey)"
 _VOTES = """votes AS (SELECT company_id_a, company_id_b, coalesce(name_prefix6_eq = 1 AND coalesce(emp_tot_reldiff, 1.0) <= 0.3 AND country_exact = 1, false) vote_same FROM features),
 voted AS (SELECT *, CAST(CASE WHEN vote_same THEN 0.7 ELSE 0.6 END AS DOUBLE) confidence, CASE WHEN vote_same THEN '["same name prefix, size and country"]' ELSE '["weak evidence"]' END reasons_json FROM votes)"""
+_ALL = "SELECT * FROM entity UNION ALL SELECT company_id, company_id FROM comp WHERE company_id NOT IN (SELECT company_id FROM entity)"
+_AUDIT = """, cast_votes AS (SELECT company_id_a, company_id_b, coalesce(name_prefix6_eq = 1 AND coalesce(nullif(emp_tot_reldiff, 0), 1.0) <= 0.3 AND country_exact = 1, false) vote_same FROM features)
+SELECT company_id_a, company_id_b, vote_same, CAST(CASE WHEN vote_same THEN 0.7 ELSE 0.6 END AS DOUBLE) vote_confidence, CASE WHEN vote_same THEN '["same name prefix, size and country"]' ELSE '["weak evidence"]' END reasons_json,
+  '{"a":"' || coalesce(country_a, '') || '","b":"' || coalesce(country_b, '') || '"}' normalized_names_json, coalesce(country_exact, 0) country_exact, coalesce(name_prefix6_eq, 0) name_prefix6_eq,
+  coalesce(nullif(emp_tot_reldiff, 0), CAST(1.0 AS DOUBLE)) emp_tot_reldiff, coalesce(model_score, CAST(-1.0 AS DOUBLE)) model_score
+FROM features JOIN scores USING (company_id_a, company_id_b) JOIN cast_votes USING (company_id_a, company_id_b) WHERE model_score BETWEEN 0.35 AND 0.65 ORDER BY 1, 2 LIMIT 50000"""
 _CASCADE = """SELECT company_id_a, company_id_b, model_score,
   CASE WHEN model_score >= 0.85 THEN 'match' WHEN model_score <= 0.15 THEN 'nonmatch' WHEN confidence >= 0.7 AND vote_same THEN 'match' WHEN confidence >= 0.7 THEN 'nonmatch' ELSE 'review' END decision,
   CASE WHEN model_score >= 0.85 OR model_score <= 0.15 THEN 'model' WHEN confidence >= 0.7 THEN 'vote' ELSE 'none' END decision_source
   FROM scores LEFT JOIN voted USING (company_id_a, company_id_b)"""
 
 
-def oracle_sql() -> dict[str, str]:
+def _chain(limit: int) -> dict[str, str]:
+    """Queries of the chain at a block limit."""
+    sql = lambda final, depth: _with(final, depth, limit)
     feat = "SELECT * FROM features"
+    ids = "(SELECT company_id_a company_id FROM pairs UNION SELECT company_id_b FROM pairs)"
+    return {
+        "blocks_stage1": sql("SELECT * FROM kept1", 2),
+        "blocks_adaptive": sql("SELECT * FROM blocks", 2),
+        "blocks_heavy": sql("SELECT * FROM heavy", 2),
+        "blocks_refinement_log": sql("SELECT * FROM (" + " UNION ALL ".join(f"SELECT 'stage{i}' stage, kind, bkey, n FROM size{i} WHERE n > {limit}" for i in (1, 2, 3)) + ")", 2),
+        "stage3_tokens": sql("SELECT company_id, country, tok, df FROM tokens", 2),
+        "pairs_with_kind": sql("SELECT * FROM kinded", 3),
+        "pairs_capped": sql("SELECT * FROM pairs", 3),
+        "pair_features": sql(feat, 4),
+        "features_shard_union": sql(feat, 4),
+        "weak_labels": sql("SELECT * FROM weak", 5),
+        "pair_scores_linear": sql("SELECT * FROM scores", 5),
+        "scored_view": sql("SELECT f.*, model_score FROM features f LEFT JOIN scores USING (company_id_a, company_id_b)", 5),
+        "pair_matches": sql("SELECT * FROM matches", 5),
+        "pair_labels": sql("SELECT * FROM labeled", 5),
+        "entities": sql("SELECT * FROM entity", 5),
+        "entities_with_singletons": sql(_ALL, 5),
+        "resolved": sql("SELECT * FROM resolved", 5),
+        "resolved_with_singletons": sql("SELECT * FROM resolved", 5).replace("members AS (SELECT e.entity_id, c.* FROM entity e", f"members AS (SELECT e.entity_id, c.* FROM ({_ALL}) e"),
+        "votes": sql("SELECT * FROM voted", 5).replace("WITH RECURSIVE ", "WITH RECURSIVE ", 1).replace("\nSELECT * FROM voted", ",\n" + _VOTES + "\nSELECT * FROM voted"),
+        "votes_table": sql("@", 5).replace("\n@", ",\n" + _VOTES + "\n" + _AUDIT),
+        "cascade": sql("@", 5).replace("\n@", ",\n" + _VOTES + "\n" + _CASCADE),
+        "decision_counts": sql("@", 5).replace("\n@", ",\n" + _VOTES + "\nSELECT decision, count(*) n FROM (" + _CASCADE + ") GROUP BY decision"),
+        "ambiguous_pairs": sql("SELECT company_id_a, company_id_b, model_score FROM features LEFT JOIN scores USING (company_id_a, company_id_b) WHERE model_score BETWEEN 0.35 AND 0.65 ORDER BY 1, 2 LIMIT 50000", 5),
+        "q_block_stats": sql(_BSTATS, 2),
+        "q_top_heavy": sql("SELECT DISTINCT kind, bkey, n FROM heavy ORDER BY n DESC, kind, bkey LIMIT 10", 2),
+        "q_overlap": sql("SELECT count(*) total_companies, count(*) FILTER (k = 1) single_kind, count(*) FILTER (k > 1) multi_kind, round(CAST(100.0 AS DOUBLE) * count(*) FILTER (k > 1) / count(*), 2) pct_multi_kind FROM (SELECT company_id, count(DISTINCT kind) k FROM blocks GROUP BY 1)", 2),
+        "q_kind_pairs": sql("SELECT a.kind kind_a, b.kind kind_b, count(*) shared_companies FROM (SELECT DISTINCT company_id, kind FROM blocks) a JOIN (SELECT DISTINCT company_id, kind FROM blocks) b ON a.company_id = b.company_id AND a.kind < b.kind GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 20", 2),
+        "q_score_stats": sql("SELECT (SELECT count(*) FROM features) features_count, count(*) scores_count, count(*) FILTER (model_score IS NULL) null_scores, coalesce(min(model_score), 0) score_min, coalesce(max(model_score), 0) score_max, coalesce(avg(model_score), 0) score_mean, coalesce(quantile_cont(model_score, 0.5), 0) score_median, coalesce(quantile_cont(model_score, 0.1), 0) score_p10, coalesce(quantile_cont(model_score, 0.9), 0) score_p90, round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM features), 4) score_ratio FROM scores", 5),
+        "q_label_counts": sql("SELECT count(*) FILTER (label_weak = 1) pos, count(*) FILTER (label_weak = 0) neg, count(*) FILTER (label_weak IS NULL) unlabeled FROM labeled", 5),
+        "q_match_stats": sql("SELECT (SELECT count(*) FROM matches) total_pairs, (SELECT count(*) FROM labeled WHERE label_weak = 1) labeled_positive, (SELECT count(*) FROM labeled WHERE label_weak = 0) labeled_negative, CAST(coalesce(sum(n), 0) AS BIGINT) total_entities, count(*) unique_entity_ids, avg(n) avg_cluster_size, max(n) largest_cluster, count(*) FILTER (n = 1) singletons FROM esize", 5),
+        "q_resolved_summary": sql("SELECT count(*) entities, CAST(coalesce(sum(n), 0) AS BIGINT) records, avg(n) avg_cluster, max(n) max_cluster, count(*) FILTER (n = 1) singletons, count(*) FILTER (n > 1) multi_member, round(CAST(100.0 AS DOUBLE) * count(*) FILTER (n = 1) / nullif(count(*), 0), 2) pct_singletons, (SELECT count(*) FROM resolved) resolved_rows FROM esize", 5),
+        "q_pair_sanity": sql("SELECT count(*) total_pairs, count(DISTINCT company_id_a) distinct_a, count(DISTINCT company_id_b) distinct_b, count(DISTINCT company_id_a) + count(DISTINCT company_id_b) total_unique_ids, count(*) - count(DISTINCT (company_id_a, company_id_b)) duplicate_pairs FROM kinded", 3),
+        "q_missing": sql(f"SELECT count(*) missing_companies FROM comp WHERE company_id NOT IN {ids}", 3),
+        "q_orphan": sql(f"SELECT count(*) orphan_ids FROM {ids} WHERE company_id NOT IN (SELECT company_id FROM comp)", 3),
+        "q_domain_exact_total": sql("SELECT CAST(sum(domain_exact) AS BIGINT) domain_exact_total FROM features", 4),
+        "q_blocking_stats_overall": sql(f"SELECT {_counts(limit)}, max(n) FILTER (n BETWEEN 2 AND {limit}) kept_max, quantile_cont(n, 0.9) FILTER (n BETWEEN 2 AND {limit}) kept_p90, {_est(limit)}, (SELECT count(*) FROM comp) companies, (SELECT count(*) FROM pairs) actual_pairs FROM {_SIZES}", 3),
+        "q_blocking_stats_by_kind": sql(f"SELECT kind, {_counts(limit)}, {_est(limit)} FROM {_SIZES} GROUP BY kind", 2),
+        "q_block_sizes": sql(f"SELECT * FROM {_SIZES}", 2),
+        "q_top_kept": sql(f"SELECT * FROM {_SIZES} WHERE n BETWEEN 2 AND {limit} ORDER BY n DESC, kind, bkey LIMIT 100", 2),
+        "q_stage_counts": sql("SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{s}' stage, count(*) n FROM {t}" for s, t in (("companies", "comp"), ("blocks", "blocks"), ("pairs", "pairs"), ("features", "features"), ("scores", "scores"), ("entities", "entity"))) + ")", 5),
+        "q_dupes": sql("SELECT count(*) pairs_repeated, CAST(coalesce(sum(c - 1), 0) AS BIGINT) rows_extra FROM (SELECT company_id_a, company_id_b, count(*) c FROM kinded GROUP BY 1, 2 HAVING count(*) > 1)", 3),
+    }
+
+
+#: Queries that are also given at the limit SMALL, under names that end in it: at the default no block of the small test tables is heavy.
+ALSO_SMALL = ("blocks_adaptive", "blocks_heavy", "blocks_refinement_log", "stage3_tokens", "pairs_capped", "resolved", "q_top_heavy", "q_blocking_stats_by_kind")
+
+
+def oracle_sql() -> dict[str, str]:
     quality = """SELECT count(*) n_rows, count(*) FILTER (domain_name IS NULL) null_domains, count(*) FILTER (company_name IS NULL) null_names, count(*) FILTER (year_founded NOT BETWEEN 1800 AND 2100) years_out_of_range,
   count(*) FILTER (company_name <> lower(company_name)) names_not_lower, count(*) FILTER (regexp_matches(domain_name, '^https?://|^www[.]')) domains_with_scheme, count(*) FILTER (regexp_matches(linkedin_url, '^https?://')) profiles_with_scheme,
   count(*) FILTER (final_country <> lower(final_country)) countries_not_lower, count(*) FILTER (company_id IS NULL) null_ids, count(company_id) - count(DISTINCT company_id) repeated_ids FROM clean"""
-    ids = "(SELECT company_id_a company_id FROM pairs UNION SELECT company_id_b FROM pairs)"
+    small = _chain(SMALL)
     return {
         "clean_pages": _clean(_PAGES) + "SELECT * FROM clean",
         "clean_customer": _clean(_CUSTOMER) + "SELECT * FROM clean",
-        "blocks_stage1": _with("SELECT * FROM kept1", 2),
-        "blocks_adaptive": _with("SELECT * FROM blocks", 2),
-        "blocks_adaptive_200": _with("SELECT * FROM blocks", 2, 200),
-        "blocks_heavy": _with("SELECT * FROM heavy", 2),
-        "blocks_refinement_log": _with("SELECT * FROM (" + " UNION ALL ".join(f"SELECT 'stage{i}' stage, kind, bkey, n FROM size{i} WHERE n > {LIMIT}" for i in (1, 2, 3)) + ")", 2),
-        "stage3_tokens": _with("SELECT company_id, country, tok, df FROM tokens", 2),
-        "pairs_with_kind": _with("SELECT * FROM kinded", 3),
-        "pairs_capped": _with("SELECT * FROM pairs", 3),
-        "pair_features": _with(feat, 4),
-        "features_shard_union": _with(feat, 4),
-        "weak_labels": _with("SELECT * FROM weak", 5),
-        "pair_scores_linear": _with("SELECT * FROM scores", 5),
-        "scored_view": _with("SELECT f.*, model_score FROM features f LEFT JOIN scores USING (company_id_a, company_id_b)", 5),
-        "pair_matches": _with("SELECT * FROM matches", 5),
-        "pair_labels": _with("SELECT * FROM labeled", 5),
-        "entities": _with("SELECT * FROM entity", 5),
-        "resolved": _with("SELECT * FROM resolved", 5),
-        "votes": _with("SELECT * FROM voted", 5).replace("WITH RECURSIVE ", "WITH RECURSIVE ", 1).replace("\nSELECT * FROM voted", ",\n" + _VOTES + "\nSELECT * FROM voted"),
-        "cascade": _with("@", 5).replace("\n@", ",\n" + _VOTES + "\n" + _CASCADE),
-        "decision_counts": _with("@", 5).replace("\n@", ",\n" + _VOTES + "\nSELECT decision, count(*) n FROM (" + _CASCADE + ") GROUP BY decision"),
-        "ambiguous_pairs": _with("SELECT company_id_a, company_id_b, model_score FROM features LEFT JOIN scores USING (company_id_a, company_id_b) WHERE model_score BETWEEN 0.35 AND 0.65 ORDER BY 1, 2 LIMIT 50000", 5),
-        "q_block_stats": _with(_BSTATS, 2),
-        "q_top_heavy": _with("SELECT DISTINCT kind, bkey, n FROM heavy ORDER BY n DESC, kind, bkey LIMIT 10", 2),
-        "q_overlap": _with("SELECT count(*) total_companies, count(*) FILTER (k = 1) single_kind, count(*) FILTER (k > 1) multi_kind, round(CAST(100.0 AS DOUBLE) * count(*) FILTER (k > 1) / count(*), 2) pct_multi_kind FROM (SELECT company_id, count(DISTINCT kind) k FROM blocks GROUP BY 1)", 2),
-        "q_kind_pairs": _with("SELECT a.kind kind_a, b.kind kind_b, count(*) shared_companies FROM (SELECT DISTINCT company_id, kind FROM blocks) a JOIN (SELECT DISTINCT company_id, kind FROM blocks) b ON a.company_id = b.company_id AND a.kind < b.kind GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 20", 2),
-        "q_score_stats": _with("SELECT (SELECT count(*) FROM features) features_count, count(*) scores_count, count(*) FILTER (model_score IS NULL) null_scores, coalesce(min(model_score), 0) score_min, coalesce(max(model_score), 0) score_max, coalesce(avg(model_score), 0) score_mean, coalesce(quantile_cont(model_score, 0.5), 0) score_median, coalesce(quantile_cont(model_score, 0.1), 0) score_p10, coalesce(quantile_cont(model_score, 0.9), 0) score_p90, round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM features), 4) score_ratio FROM scores", 5),
-        "q_label_counts": _with("SELECT count(*) FILTER (label_weak = 1) pos, count(*) FILTER (label_weak = 0) neg, count(*) FILTER (label_weak IS NULL) unlabeled FROM labeled", 5),
-        "q_match_stats": _with("SELECT (SELECT count(*) FROM matches) total_pairs, (SELECT count(*) FROM labeled WHERE label_weak = 1) labeled_positive, (SELECT count(*) FROM labeled WHERE label_weak = 0) labeled_negative, CAST(coalesce(sum(n), 0) AS BIGINT) total_entities, count(*) unique_entity_ids, avg(n) avg_cluster_size, max(n) largest_cluster, count(*) FILTER (n = 1) singletons FROM esize", 5),
-        "q_resolved_summary": _with("SELECT count(*) entities, CAST(coalesce(sum(n), 0) AS BIGINT) records, avg(n) avg_cluster, max(n) max_cluster, count(*) FILTER (n = 1) singletons, count(*) FILTER (n > 1) multi_member, round(CAST(100.0 AS DOUBLE) * count(*) FILTER (n = 1) / nullif(count(*), 0), 2) pct_singletons, (SELECT count(*) FROM resolved) resolved_rows FROM esize", 5),
-        "q_pair_sanity": _with("SELECT count(*) total_pairs, count(DISTINCT company_id_a) distinct_a, count(DISTINCT company_id_b) distinct_b, count(DISTINCT company_id_a) + count(DISTINCT company_id_b) total_unique_ids, count(*) - count(DISTINCT (company_id_a, company_id_b)) duplicate_pairs FROM kinded", 3),
-        "q_missing": _with(f"SELECT count(*) missing_companies FROM comp WHERE company_id NOT IN {ids}", 3),
-        "q_orphan": _with(f"SELECT count(*) orphan_ids FROM {ids} WHERE company_id NOT IN (SELECT company_id FROM comp)", 3),
-        "q_domain_exact_total": _with("SELECT CAST(sum(domain_exact) AS BIGINT) domain_exact_total FROM features", 4),
-        "q_blocking_stats_overall": _with(f"SELECT {_COUNTS}, max(n) FILTER (n BETWEEN 2 AND {LIMIT}) kept_max, quantile_cont(n, 0.9) FILTER (n BETWEEN 2 AND {LIMIT}) kept_p90, {_EST}, (SELECT count(*) FROM comp) companies, (SELECT count(*) FROM pairs) actual_pairs FROM {_SIZES}", 3),
-        "q_blocking_stats_by_kind": _with(f"SELECT kind, {_COUNTS}, {_EST} FROM {_SIZES} GROUP BY kind", 2),
-        "q_block_sizes": _with(f"SELECT * FROM {_SIZES}", 2),
-        "q_top_kept": _with(f"SELECT * FROM {_SIZES} WHERE n BETWEEN 2 AND {LIMIT} ORDER BY n DESC, kind, bkey LIMIT 100", 2),
-        "q_stage_counts": _with("SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{s}' stage, count(*) n FROM {t}" for s, t in (("companies", "comp"), ("blocks", "blocks"), ("pairs", "pairs"), ("features", "features"), ("scores", "scores"), ("entities", "entity"))) + ")", 5),
-        "q_dupes": _with("SELECT count(*) pairs_repeated, CAST(coalesce(sum(c - 1), 0) AS BIGINT) rows_extra FROM (SELECT company_id_a, company_id_b, count(*) c FROM kinded GROUP BY 1, 2 HAVING count(*) > 1)", 3),
+        **_chain(LIMIT),
+        **{f"{name}_{SMALL}": small[name] for name in ALSO_SMALL},
         "q_quality": _clean(_PAGES) + quality,
     }

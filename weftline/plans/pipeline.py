@@ -1,14 +1,16 @@
-"""The whole run: companies to resolved records. Stages are lazy; a stage with '+' in front brings its upstream."""
+"""The whole run: a company file to resolved records. Stages are lazy; a stage with '+' in front brings its upstream."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from weftline.operators import blocking, canonical, features, matching, model, pairs, stats
+from weftline.operators import blocking, canonical, clean, features, matching, model, pairs, stats
+from weftline.session import materialize, shared_dir
 from weftline.settings import Settings
+from weftline.sources import companies as source
 
 #: Stage and what it needs.
 STAGES = {
@@ -32,6 +34,30 @@ class Run:
     scorer: Callable[[DataFrame], DataFrame] | None = None
     out: dict = field(default_factory=dict)
 
+    @classmethod
+    def from_file(cls, spark: SparkSession, settings: Settings | None = None, **more) -> Run:
+        """Reads settings.company_file, a CSV file or a zip of some, cleans it and writes the rows out. A company id that is null or occurs twice stops the load, since pairs would multiply."""
+        settings = settings or Settings()
+        path = settings.company_file
+        if path.endswith(".zip"):
+            path = source.expand_zip(path, f"{shared_dir(spark).removeprefix('file://').removeprefix('file:')}/companies")
+        raw = source.read_csv(spark, path)
+        cleaned = materialize(clean.clean_companies(raw))
+        audit = clean.count_audit(raw, cleaned)
+        found = stats.silver_quality(cleaned).first()
+        if not audit["equal"] or found["null_ids"] or found["repeated_ids"]:
+            raise ValueError(f"company ids must be unique: {found['null_ids']} null, {found['repeated_ids']} repeated; rows {audit}")
+        return cls(cleaned, settings, **more)
+
+    def save(self, database: str) -> list[str]:
+        """Writes every stage that was run as a table of the database; the tables' names."""
+        tables = {"companies": self.companies}
+        for stage, made in self.out.items():
+            tables |= {"blocks": made.blocks, "heavy": made.heavy, "refinement_log": made.log} if stage == "blocking" else {stage: made}
+        for name, df in tables.items():
+            source.save_table(df, f"{database}.{name}")
+        return sorted(tables)
+
     def _make(self, stage: str):
         s, o = self.settings, self.out
         if stage == "blocking":
