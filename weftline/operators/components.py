@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.session import materialize
+from weftline.session import discard, materialize
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -36,8 +36,9 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60)
         state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if state == before or not state[0]:
             break
-        before = state
+        before, old = state, now
         now = materialize(_star(_star(now, large=True), large=False))
+        discard(old)
     else:
         raise RuntimeError(f"no fixed point after {max_rounds} rounds")
     linked = now.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -67,6 +67,23 @@ def votes(features: DataFrame, legacy_zero_is_missing: bool = False) -> DataFram
     return features.select("company_id_a", "company_id_b", strong.alias("vote_same"), F.when(strong, 0.7).otherwise(0.6).alias("confidence"), reasons.alias("reasons_json"))
 
 
+def votes_table(scored: DataFrame) -> DataFrame:
+    """A vote for each pair of scored_view(), with what it was cast on kept beside it for audit; absent figures as 0, 1.0 or -1.0."""
+    cast = votes(scored, legacy_zero_is_missing=True).withColumnRenamed("confidence", "vote_confidence")
+    rel = F.coalesce("emp_tot_reldiff", F.lit(1.0))
+    names = F.to_json(F.struct(F.coalesce("country_a", F.lit("")).alias("a"), F.coalesce("country_b", F.lit("")).alias("b")))
+    seen = scored.select(
+        "company_id_a",
+        "company_id_b",
+        names.alias("normalized_names_json"),
+        F.coalesce("country_exact", F.lit(0)).alias("country_exact"),
+        F.coalesce("name_prefix6_eq", F.lit(0)).alias("name_prefix6_eq"),
+        F.when(rel == 0, 1.0).otherwise(rel).alias("emp_tot_reldiff"),
+        F.coalesce("model_score", F.lit(-1.0)).alias("model_score"),
+    )
+    return cast.join(seen, ["company_id_a", "company_id_b"]).select("company_id_a", "company_id_b", "vote_same", "vote_confidence", "reasons_json", "normalized_names_json", "country_exact", "name_prefix6_eq", "emp_tot_reldiff", "model_score")
+
+
 def cascade(scores: DataFrame, cast_votes: DataFrame, hi: float = 0.85, lo: float = 0.15, sure: float = 0.70) -> DataFrame:
     """The model decides outside its band, a confident vote inside it, else review."""
     s, v, c = F.col("model_score"), F.col("vote_same"), F.col("confidence")

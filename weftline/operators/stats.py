@@ -4,21 +4,36 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.operators.blocking import block_sizes
+from weftline.session import materialize
 
-PAIRS_OF_N = "sum(n * (n - 1) div 2)"
+
+def percentiles(df: DataFrame, column: str, shares: dict[str, float]) -> DataFrame:
+    """One row with an exact percentile of a column for each name, interpolated. Values are counted, then ranked in the parts of a range partitioning; only the parts' totals meet in one task."""
+    counted = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(F.count("*").alias("n"))
+    parts = materialize(counted.repartitionByRange("v").withColumn("part", F.spark_partition_id()))
+    totals = parts.groupBy("part").agg(F.sum("n").alias("m"))
+    before = totals.select("part", (F.sum("m").over(Window.orderBy("part")) - F.col("m")).alias("b"), F.sum("m").over(Window.partitionBy()).alias("total"))
+    last = F.col("b") + F.sum("n").over(Window.partitionBy("part").orderBy("v"))
+    ranked = parts.join(F.broadcast(before), "part").select("v", "total", last.alias("last"))
+    at = {name: share * (F.col("total") - 1) for name, share in shares.items()}
+    first = lambda rank: F.min(F.when(F.col("last") > rank, F.col("v")))
+    ends = ranked.agg(*[x for name, r in at.items() for x in (first(F.floor(r)).alias(f"{name}_low"), first(F.ceil(r)).alias(f"{name}_high"), F.max(r - F.floor(r)).alias(f"{name}_part"))])
+    between = lambda c: F.col(f"{c}_low") + (F.col(f"{c}_high") - F.col(f"{c}_low")) * F.col(f"{c}_part")
+    return ends.select(*[between(name).alias(name) for name in shares])
 
 
 def block_stats(blocks: DataFrame) -> DataFrame:
-    return block_sizes(blocks).agg(
-        F.count("*").alias("blocks_total"),
+    # sizes are counted first: there are far fewer of them than blocks
+    return block_sizes(blocks).groupBy("n").agg(F.count("*").alias("c")).agg(
+        F.coalesce(F.sum("c"), F.lit(0)).alias("blocks_total"),
         F.max("n").alias("block_max"),
-        F.avg("n").alias("block_avg"),
-        F.percentile("n", 0.9).alias("block_p90"),
-        F.expr(PAIRS_OF_N).alias("est_pairs"),
+        (F.sum(F.col("n") * F.col("c")) / F.sum("c")).alias("block_avg"),
+        F.percentile("n", 0.9, F.col("c")).alias("block_p90"),
+        F.expr("sum(c * (n * (n - 1) div 2))").alias("est_pairs"),
     )
 
 
@@ -55,10 +70,9 @@ def score_stats(features: DataFrame, scores: DataFrame) -> DataFrame:
         zero(F.min(s), "score_min"),
         zero(F.max(s), "score_max"),
         zero(F.avg(s), "score_mean"),
-        zero(F.percentile(s, 0.5), "score_median"),
-        zero(F.percentile(s, 0.1), "score_p10"),
-        zero(F.percentile(s, 0.9), "score_p90"),
     )
+    ranks = percentiles(scores, "model_score", {"score_median": 0.5, "score_p10": 0.1, "score_p90": 0.9})
+    out = out.join(ranks.select(*[zero(F.col(c), c) for c in ranks.columns]), F.lit(True))
     both = features.agg(F.count("*").alias("features_count")).join(out, F.lit(True))
     return both.withColumn("score_ratio", F.round(F.try_divide(F.col("scores_count").cast("double"), F.col("features_count").cast("double")), 4))
 
@@ -121,14 +135,16 @@ def domain_exact_total(features: DataFrame) -> DataFrame:
 def blocking_overall(sizes: DataFrame, companies: DataFrame, limit: int, pairs: DataFrame) -> DataFrame:
     n = F.col("n")
     kept = n.between(2, limit)
-    out = sizes.agg(
-        F.count("*").alias("blocks_all"),
-        F.count_if(kept).alias("blocks_kept"),
-        F.count_if(n > limit).alias("blocks_heavy"),
-        F.count_if(n < 2).alias("blocks_single"),
+    # sizes are counted first, as in block_stats
+    c = F.col("c")
+    out = sizes.groupBy("n").agg(F.count("*").alias("c")).agg(
+        F.coalesce(F.sum(c), F.lit(0)).alias("blocks_all"),
+        F.coalesce(F.sum(F.when(kept, c)), F.lit(0)).alias("blocks_kept"),
+        F.coalesce(F.sum(F.when(n > limit, c)), F.lit(0)).alias("blocks_heavy"),
+        F.coalesce(F.sum(F.when(n < 2, c)), F.lit(0)).alias("blocks_single"),
         F.max(F.when(kept, n)).alias("kept_max"),
-        F.percentile(F.when(kept, n), 0.9).alias("kept_p90"),
-        F.coalesce(F.sum(F.when(kept, F.expr("n * (n - 1) div 2"))), F.lit(0)).alias("est_pairs"),
+        F.percentile(F.when(kept, n), 0.9, c).alias("kept_p90"),
+        F.coalesce(F.sum(F.when(kept, F.expr("c * (n * (n - 1) div 2)"))), F.lit(0)).alias("est_pairs"),
     )
     return out.join(companies.agg(F.count("*").alias("companies")), F.lit(True)).join(pairs.agg(F.count("*").alias("actual_pairs")), F.lit(True))
 

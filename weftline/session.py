@@ -22,8 +22,11 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where it is unset, as in tests, one below the warehouse."""
+    """The folder in spark.checkpoint.dir; where it is unset and all runs on one machine, as in tests, one below the warehouse."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.sparkContext.master
+    if not found and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return (found or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints").rstrip("/")
 
 

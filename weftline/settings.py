@@ -6,21 +6,21 @@ import os
 import warnings
 from dataclasses import dataclass, field
 
+#: Texts that mean false.
 _FALSY = {"false", "0", "no", "f"}
+#: How a text is read, where that is not what the type itself does.
+_PARSERS = {bool: lambda text: text.strip().lower() not in _FALSY}
 
 
 def env(name: str, default, cast=str):
-    """The environment variable, cast; a value that can't be cast warns and gives the default."""
-    raw = os.environ.get(name)
-    if raw is None:
+    """The environment variable as a value of type cast; the default if it is unset, and with a warning if it can't be read."""
+    if name not in os.environ:
         return default
-    if cast is bool:
-        return raw.strip().lower() not in _FALSY
     try:
-        return cast(raw)
-    except (TypeError, ValueError):
-        warnings.warn(f"{name}={raw!r} is not a valid {cast.__name__}; using {default!r}", stacklevel=2)
-        return default
+        return _PARSERS.get(cast, cast)(os.environ[name])
+    except (TypeError, ValueError) as why:
+        warnings.warn(f"{name} can't be read as {cast.__name__} ({why}); {default!r} is used", stacklevel=2)
+    return default
 
 
 def env_stopwords() -> tuple[str, ...]:
