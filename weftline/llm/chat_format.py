@@ -6,9 +6,10 @@ summed in parts. A conversation goes if another one equals it and has a smaller
 hash occurs as a proper prefix of another one: both by anti-join on (length, hashes). The rest are
 rendered.
 
-Turns are ranked within blocks of turn numbers, and block totals are added from a small window over
-blocks, so one conversation with a third of all rows is dealt over many tasks; it is rendered in
-parts of PART turns. A null role or text counts as empty; a null turn comes first; equal rows of one
+Turns are ranked within the parts of one range partitioning by conversation, turn, role and text, and
+the parts' totals are added from a small window over parts, so one conversation with a third of all
+rows is dealt over many tasks, even if its turns share one number; it is rendered in parts of PART
+turns. A null role or text counts as empty; a null turn comes first; equal rows of one
 conversation count once; rows of a null conversation id form one conversation, which is the last to
 be chosen among equal ones. An empty table gives no rows.
 """
@@ -28,9 +29,10 @@ def prefix_hashes(turns: DataFrame) -> DataFrame:
     blank = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
     rows = turns.select("conv_id", "turn", blank("role"), blank("text")).distinct()
     rows = rows.withColumn("ckey", F.coalesce(F.concat(F.lit("v"), F.col("conv_id").cast("string")), F.lit("")))
-    rows = rows.withColumn("block", F.coalesce(F.floor(F.col("turn") / PART), F.lit(-(1 << 60))).cast("long"))
-    inside = Window.partitionBy("ckey", "block").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    rows = materialize(rows.withColumn("r", F.row_number().over(inside)))
+    order = ["ckey", F.col("turn").asc_nulls_first(), "role", "text"]
+    rows = materialize(rows.repartitionByRange(*order).withColumn("block", F.spark_partition_id()))
+    inside = Window.partitionBy("ckey", "block").orderBy(*order[1:])
+    rows = rows.withColumn("r", F.row_number().over(inside))
     counts = rows.groupBy("ckey", "block").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("ckey").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("ckey", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
