@@ -6,8 +6,9 @@ global and local palettes, interlacing, the graphic control's delay, transparenc
 every frame on the logical screen. The encoder writes 8-bit samples as frames of WIDTH columns under
 a grey palette, so red equals the sample and reading back is exact.
 
-A null text is empty: its payload is 64 zero bytes. Broken files raise ValueError in decode();
-frames() gives no rows for them or for null content.
+A null text is empty: its payload is 64 zero bytes. Broken files, and those that declare
+more than MOST_PIXELS pixels, raise ValueError in decode(); frames() gives no rows for them or for null
+content.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from weftline.llm.arrow import map_batches
 
 #: Samples in a row and rows in a frame of the files that encode_samples() writes; delay in 1/100 s.
 WIDTH, ROWS, DELAY = 64, 1024, 10
+#: Pixels of a screen or frame that decode() composes, at most: a file whose header declares more is taken as broken.
+MOST_PIXELS = 1 << 24
 #: Bins of a frame's histogram, over each colour channel.
 BINS = 8
 CLEAR, END, FULL = 256, 257, 4096
@@ -191,6 +194,8 @@ def decode(data: bytes) -> Iterator[Frame]:
         p += 1
         return b"".join(parts)
 
+    if width * height > MOST_PIXELS:
+        raise ValueError("too large a screen")
     common = colours(flags)
     screen = np.zeros((height, width, 4), np.uint8)
     disposal, clear_index, delay, index, clock = 0, None, 0, 0, 0
@@ -217,6 +222,8 @@ def decode(data: bytes) -> Iterator[Frame]:
             raise ValueError("a frame without a palette")
         size = data[p]
         p += 1
+        if w * h > MOST_PIXELS:
+            raise ValueError("too large a frame")
         samples = lzw_decode(sub_blocks(), size, w * h)
         pixels = np.frombuffer(samples.ljust(w * h, b"\0"), np.uint8).reshape(h, w)
         if local & 0x40:
@@ -250,16 +257,16 @@ def encode_samples(payload: bytes) -> bytes:
     return encode(frames, screen=(min(len(pixels), ROWS), WIDTH))
 
 
-def read_samples(stored: bytes) -> tuple[bytes, int, np.ndarray]:
-    """The samples, the number of frames and the summed red histogram, from the composed frames."""
-    parts, histogram, n = [], np.zeros(BINS, np.int64), 0
+def read_samples(stored: bytes) -> tuple[bytes, list[int], np.ndarray]:
+    """The samples, the frames' delays in ms and the summed red histogram, from the composed frames."""
+    parts, histogram, delays = [], np.zeros(BINS, np.int64), []
     for f in decode(stored):
         left, top, w, h = f.box
         red = f.rgba[top : top + h, left : left + w, 0]
         parts.append(red.tobytes())
         histogram += np.bincount(red.reshape(-1) >> 5, minlength=BINS)
-        n += 1
-    return b"".join(parts), n, histogram
+        delays.append(f.delay_ms)
+    return b"".join(parts), delays, histogram
 
 
 FRAME_SCHEMA = "frame int, start_ms int, delay_ms int, disposal int, width int, height int, red array<long>, green array<long>, blue array<long>, rgba_sha256 string"
@@ -287,24 +294,24 @@ def frames(df: DataFrame, content: str = "content", key: str = "doc_id") -> Data
     return map_batches(df.select(key, content), run, f"{key} {dict(df.dtypes)[key]}, {FRAME_SCHEMA}")
 
 
-STORED_SCHEMA = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames long"
+STORED_SCHEMA = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames long, duration_ms long, red array<long>"
 
 
 def store_and_read(text: bytes) -> tuple[bytes, tuple]:
     """The GIF of a text, and what reading it back gives, as in STORED_SCHEMA."""
     payload = text.ljust(max(64, -(-len(text) // 64) * 64), b"\0")
     stored = encode_samples(payload)
-    back, n, histogram = read_samples(stored)
+    back, delays, histogram = read_samples(stored)
     if back != payload:
         raise ValueError("the stored samples differ")
-    feature = f"{n}x{WIDTH}:" + ",".join(map(str, histogram.tolist()))
-    return stored, (len(text), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(stored), hashlib.sha256(stored).hexdigest(), feature, n)
+    feature = f"{len(delays)}x{WIDTH}:" + ",".join(map(str, histogram.tolist()))
+    return stored, (len(text), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(stored), hashlib.sha256(stored).hexdigest(), feature, len(delays), sum(delays), histogram.tolist())
 
 
 def store_texts(df: DataFrame, text: str = "text", key: str = "doc_id", keep_media: bool = False) -> DataFrame:
     """key and STORED_SCHEMA for each row, the GIF itself too with keep_media."""
     names = [key, *(x.split()[0] for x in STORED_SCHEMA.split(", "))] + ["content"] * keep_media
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()] + [pa.binary()] * keep_media
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64())] + [pa.binary()] * keep_media
 
     def run(batches):
         for b in batches:
