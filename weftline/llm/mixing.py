@@ -8,8 +8,13 @@ are permuted by a hash and blocks are drawn in that order until the quota is met
 a source come on top for targets above its size. S grows with the input, so a shard of a source that
 holds a third of all rows stays small. All draws come from hashes: reruns agree.
 
+Rows with equal id, source and text are planned as one row with a count, so a group of copies meets
+in an aggregate, not in a window. Sources are ranked within the parts of a range partitioning, and
+the water level of the targets is found by rounds of sums, so no task holds all of them.
+
 Null texts have size 0; a null source is a source of its own, the last. Repeated rows are documents
-of their own. An empty table gives an empty result.
+of their own. An empty table gives an empty result. SHARDS has an upper bound: beyond about two
+million documents shards grow with the input.
 """
 
 from __future__ import annotations
@@ -41,18 +46,25 @@ def word_count(text: Column) -> Column:
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """(source, source_size, n_docs, target). A level L gives each source min(most * size, L * weight); L is found where the sum equals all sizes."""
-    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
-    # one row per source; the ranking is over sources, not documents
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weighted = per.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (rank % len(weights) + 1).cast("int")))
-    weighted = weighted.withColumn("cap", F.col("source_size").cast("double") * most)
-    everything, before = Window.partitionBy(), Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    filled = weighted.withColumn("total", F.sum(F.col("source_size").cast("double")).over(everything)).withColumn("all_weight", F.sum("weight").over(everything))
-    filled = filled.withColumn("level", F.try_divide(F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0.0)), F.col("all_weight") - F.coalesce(F.sum("weight").over(before), F.lit(0.0))))
-    # the first source, by cap per weight, that stays below its cap at the level of those after it sets the level of all
-    filled = filled.withColumn("L", F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.struct(F.col("cap") / F.col("weight"), F.col("level")))).over(everything)["level"])
-    return filled.select("source", "source_size", "n_docs", F.least("cap", F.coalesce(F.col("L") * F.col("weight"), F.col("cap"))).alias("target"))
+    """(source, source_size, target), written out. The level L where the targets min(most * size, L * weight) add up to all sizes is found by adding sources that are above their cap until none is."""
+    order = F.col("source").asc_nulls_last()
+    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    parts = materialize(per.repartitionByRange(order).withColumn("part", F.spark_partition_id()).withColumn("n", F.row_number().over(Window.partitionBy("part").orderBy(order))))
+    # a row for each part of the range partitioning
+    before = parts.groupBy("part").agg(F.max("n").alias("m")).withColumn("b", F.sum("m").over(Window.orderBy("part")) - F.col("m"))
+    rank = F.col("n") + F.col("b") - 1
+    weighted = parts.join(F.broadcast(before.select("part", "b")), "part").withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (rank % len(weights) + 1).cast("int")))
+    weighted = materialize(weighted.select("source", "source_size", "weight", (F.col("source_size").cast("double") * most).alias("cap")))
+    total = weighted.agg(F.sum(F.col("source_size").cast("double"))).first()[0] or 0.0
+    level = 0.0
+    while True:
+        full = F.col("cap") < level * F.col("weight")
+        caps, free = weighted.agg(F.sum(F.when(full, F.col("cap")).otherwise(0.0)), F.sum(F.when(full, 0.0).otherwise(F.col("weight")))).first()
+        new = (total - caps) / free if free else float("inf")
+        if not free or new <= level:
+            break
+        level = new
+    return weighted.select("source", "source_size", F.least("cap", F.lit(level) * F.col("weight")).alias("target"))
 
 
 def _uniform(*parts: Column) -> Column:
@@ -187,34 +199,40 @@ def split_quota(per: DataFrame, quotas: DataFrame, levels: int, seed: int) -> Da
     return out.select(F.col("s1").alias("source"), F.posexplode_outer("q").alias("shard", "shard_quota"))
 
 
-def plan(documents: DataFrame, text: str = "text", seed: int = 7, shards: int | None = None) -> DataFrame:
-    """documents' (doc_id, source) with size, source_size, target, shard, place in the shard's permutation, passes and part (words of a partial pass), and taken."""
-    sized = documents.select("doc_id", "source", word_count(F.col(text)).alias("size"))
-    return plan_sizes(materialize(sized), seed, shards)
+def sizes_of(documents: DataFrame, text: str = "text") -> DataFrame:
+    """documents' (doc_id, source) with size and twin, a hash of the text."""
+    return documents.select("doc_id", "source", word_count(F.col(text)).alias("size"), F.xxhash64(text).alias("twin"))
 
 
-def plan_sizes(sized: DataFrame, seed: int = 7, shards: int | None = None) -> DataFrame:
-    aim = targets(sized)
+def plan_groups(documents: DataFrame, text: str = "text", seed: int = 7, shards: int | None = None) -> DataFrame:
+    """A row for each (doc_id, source, size, twin), with n (its rows), source_size, target, passes, shard, first (place of its first row in the shard's permutation) and left (blocks of the shard's quota that rows before it leave)."""
+    sized = materialize(sizes_of(documents, text).groupBy("doc_id", "source", "size", "twin").agg(F.count("*").alias("n")))
+    every = F.col("size") * F.col("n")
+    aim = targets(sized.select("source", every.alias("size")))
     if shards is None:
-        n = sized.count()
+        n = sized.agg(F.sum("n")).first()[0] or 0
         shards = min(SHARDS[1], max(SHARDS[0], 1 << max(0, (n // SHARD_DOCS)).bit_length()))
     levels = (shards - 1).bit_length()
-    key = F.xxhash64("doc_id", "source", "size", F.lit(seed))
+    key = F.xxhash64("doc_id", "source", "size", "twin", F.lit(seed))
     rows = sized.withColumn("place_key", key).withColumn("shard", F.pmod(F.shiftrightunsigned("place_key", 7), F.lit(1 << levels)).cast("int"))
-    aim = materialize(aim)
-    per = rows.groupBy("source", "shard").agg(F.sum("size").alias("blocks"))
+    per = rows.groupBy("source", "shard").agg(F.sum(every).alias("blocks"))
     # quota: blocks of the partial pass; whole passes need no draw
     whole = F.floor(F.try_divide(F.col("target"), F.col("source_size").cast("double")) + 1e-12)
     aim = aim.withColumn("passes", F.coalesce(F.least(whole, F.lit(MOST)), F.lit(0)).cast("long"))
     aim = aim.withColumn("quota", F.greatest(F.lit(0).cast("long"), F.least(F.col("source_size"), F.round(F.col("target") - F.col("passes") * F.col("source_size")).cast("long"))))
     quotas = materialize(split_quota(per, aim.select("source", "quota"), levels, seed).select(F.col("source").alias("s3"), F.col("shard").alias("h3"), "shard_quota"))
     facts = aim.select(F.col("source").alias("s2"), "source_size", "target", "passes")
-    order = Window.partitionBy("source", "shard").orderBy("place_key", "doc_id", "size")
-    before = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    placed = rows.withColumn("place", F.row_number().over(order)).withColumn("before", F.coalesce(before, F.lit(0)))
+    order = Window.partitionBy("source", "shard").orderBy("place_key", "doc_id", "size", "twin").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn("first", F.coalesce(F.sum("n").over(order), F.lit(0)) + 1).withColumn("before", F.coalesce(F.sum(every).over(order), F.lit(0)))
     joined = placed.join(quotas, F.col("source").eqNullSafe(F.col("s3")) & (F.col("shard") == F.col("h3"))).join(facts, F.col("source").eqNullSafe(F.col("s2")))
-    part = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("shard_quota") - F.col("before")))
-    return joined.withColumn("part", part).select("doc_id", "source", "size", "source_size", "target", "shard", "place", "passes", "part", (F.col("passes") * F.col("size") + F.col("part")).alias("taken"))
+    return joined.select("doc_id", "source", "size", "twin", "n", "source_size", "target", "passes", "shard", "first", (F.col("shard_quota") - F.col("before")).alias("left"))
+
+
+def plan(documents: DataFrame, text: str = "text", seed: int = 7, shards: int | None = None) -> DataFrame:
+    """A row for each document: doc_id, source, size, source_size, target, shard, place in the shard's permutation, passes and part (words of a partial pass), and taken."""
+    rows = plan_groups(documents, text, seed, shards).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("k"))
+    part = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("left") - F.col("k") * F.col("size")))
+    return rows.withColumn("part", part).select("doc_id", "source", "size", "source_size", "target", "shard", (F.col("first") + F.col("k")).alias("place"), "passes", "part", (F.col("passes") * F.col("size") + F.col("part")).alias("taken"))
 
 
 def mix(documents: DataFrame, text: str = "text", seed: int = 7) -> DataFrame:
@@ -222,17 +240,30 @@ def mix(documents: DataFrame, text: str = "text", seed: int = 7) -> DataFrame:
 
     No document is cut. The last one drawn in a shard of a source, of which the quota covers a part, is taken whole with
     a probability of that part, so what is taken of a source meets its target on average, off by such documents only.
-    Plan and texts meet on a hash of (doc_id, source, size) and a number among equal ones, so repeated rows pair off one to one.
+    Plan and texts meet on id, source, size and text hash. Rows that are equal there draw as often as their count says;
+    where their other columns differ, those drawn more often come first in the order of a hash.
     """
     columns = documents.columns
-    sized = documents.withColumn("_size", word_count(F.col(text))).withColumn("_key", F.xxhash64("doc_id", "source", "_size"))
-    planned = plan(documents, text, seed).withColumn("_key", F.xxhash64("doc_id", "source", "size"))
-    planned = planned.withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy("shard", "place"))).select("_key", "_nth", "size", "shard", "place", "passes", "part")
-    both = sized.withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy(text))).join(planned, ["_key", "_nth"])
-    drawn = (F.col("size") > 0) & (_uniform(F.col("_key"), F.col("_nth"), F.lit(seed)) * F.col("size") < F.col("part"))
-    texts = F.array_repeat(F.col(text), (F.col("passes") + drawn.cast("long")).cast("int"))
-    rows = both.select(*[c for c in columns if c != text], "shard", "_key", "_nth", F.posexplode(texts).alias("_copy", text))
-    return rows.repartition("shard").sortWithinPartitions("shard", F.xxhash64("_key", "_nth", "_copy", F.lit(seed))).select(*columns)
+    key = ["doc_id", "source", "size", "twin"]
+    full = F.when(F.col("size") > 0, F.greatest(F.lit(0), F.least(F.col("n"), F.floor(F.col("left") / F.col("size"))))).otherwise(0).cast("long")
+    groups = plan_groups(documents, text, seed).withColumn("full", full)
+    rest = F.col("left") - F.col("full") * F.col("size")
+    drawn = (F.col("full") < F.col("n")) & (rest > 0) & (_uniform(*key, F.lit(seed)) * F.col("size") < rest)
+    groups = materialize(groups.select(*[F.col(c).alias(f"_{c}") for c in [*key, "n", "passes", "shard", "full"]], F.coalesce(drawn, F.lit(False)).cast("long").alias("_drawn")))
+    sized = documents.withColumns({"_s": word_count(F.col(text)), "_t": F.xxhash64(text)})
+    both = sized.join(groups, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_s") == F.col("_size")) & (F.col("_t") == F.col("_twin")))
+    facts = ["_shard", "_passes", "_full", "_drawn", *[f"_{c}" for c in key]]
+    alone = both.filter("_n = 1").select(*columns, *facts, (F.col("_passes") + F.col("_full") + F.col("_drawn")).alias("_copies"))
+    # rows that are equal in all columns are one row with a count
+    body = F.to_json(F.struct(*columns))
+    alike = both.filter("_n > 1").groupBy(*facts, F.md5(body).alias("_all")).agg(F.first(F.struct(*columns)).alias("_row"), F.count("*").alias("_m"))
+    earlier = Window.partitionBy(*[f"_{c}" for c in key]).orderBy("_all").rowsBetween(Window.unboundedPreceding, -1)
+    alike = alike.withColumn("_b", F.coalesce(F.sum("_m").over(earlier), F.lit(0)))
+    some = F.greatest(F.lit(0).cast("long"), F.least(F.col("_m"), F.col("_full") - F.col("_b")))
+    last = F.when((F.col("_full") >= F.col("_b")) & (F.col("_full") < F.col("_b") + F.col("_m")), F.col("_drawn")).otherwise(0)
+    alike = alike.select("_row.*", *facts, (F.col("_passes") * F.col("_m") + some + last).alias("_copies"))
+    rows = alone.unionByName(alike).filter("_copies > 0").select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy"))
+    return rows.repartition("_shard").sortWithinPartitions("_shard", F.xxhash64(*[f"_{c}" for c in key], "_copy", F.lit(seed))).select(*columns)
 
 
 def op10_mixing(documents: DataFrame) -> DataFrame:
