@@ -8,8 +8,10 @@ the one with the best F1 out of fold.
 
 Models are fitted on the driver with numpy, each on the rows where its category is known: at most
 SAMPLE labelled rows in hash order of each combination of known categories, the one bound here; every
-text is scored, whole. A null or empty text has no words and gets the models'
-intercepts. Labels that are null, or whose document is absent, are not used. Without labelled rows
+text is scored, whole. Of the sample's words the driver gets those that show half of the evidence asked
+for over the whole sample, counted on the executors, so long texts don't fill it. A null or empty text
+has no words and gets the models' intercepts. Labels that are null, or whose document is absent, are
+not used; of a label's documents with one id, one counts, that of the smallest text hash. Without labelled rows
 of both kinds a category's probability is its share among the labelled rows, 0 without any. If no
 row of the last category could be scored out of fold by a model that had seen another one, there is
 nothing to set a threshold by, and no document is rejected.
@@ -22,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.arrow import map_batches
@@ -169,7 +171,7 @@ def fit_chain(bucket: np.ndarray, counts: np.ndarray, labels: np.ndarray, fold:
 
 
 def train(documents: DataFrame, labels: DataFrame, text: str = "text", chain=CHAIN, sample: int = SAMPLE) -> Chain:
-    """Only the sample's buckets reach the driver, BUCKETS for each row at most."""
+    """Only the sample's buckets with some evidence reach the driver."""
     known = labels.select(F.col("doc_id"), *[F.expr(e).alias(f"y_{c}") for c, e in chain]).filter(" OR ".join(f"y_{c} IS NOT NULL" for c, _ in chain))
     # what has a document, so that other labels don't use up the sample
     known = materialize(known.join(documents.select("doc_id"), "doc_id", "left_semi"))
@@ -179,23 +181,56 @@ def train(documents: DataFrame, labels: DataFrame, text: str = "text", chain=CHA
             some = known.filter(" AND ".join(f"y_{c} IS {'NOT ' if on else ''}NULL" for (c, _), on in zip(chain, combination)))
             some = some.orderBy(F.xxhash64("doc_id"), "doc_id", *[f"y_{c}" for c, _ in chain]).limit(sample)
             drawn = some if drawn is None else drawn.unionByName(some)
-    rows = documents.select("doc_id", F.col(text).alias("text")).join(drawn, "doc_id")
-    names = [c for c, _ in chain]
-
-    def run(batches):
-        for b in batches:
-            bucket, counts = features(utf8(b.column("text")))
-            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[b.column(f"y_{c}") for c in names], pa.ListArray.from_arrays(offsets, bucket)], names=["doc_id", *[f"y_{c}" for c in names], "buckets"])
-
+    names = [f"y_{c}" for c, _ in chain]
+    drawn = materialize(drawn)
+    body = F.coalesce(F.col(text), F.lit(""))
+    # the drawn ids are as bounded as the sample
+    texts = documents.select("doc_id", F.struct(F.xxhash64(body).alias("h"), body.alias("text")).alias("x")).join(F.broadcast(drawn.select("doc_id").distinct()), "doc_id")
+    rows = materialize(drawn.join(texts.groupBy("doc_id").agg(F.min("x").alias("x")), "doc_id").select("doc_id", *names, F.col("x.text").alias("text")))
     kind = dict(documents.dtypes)["doc_id"]
-    got = map_batches(rows, run, ", ".join([f"doc_id {kind}", *[f"y_{c} boolean" for c in names], "buckets array<int>"])).toArrow()
+    schema = ", ".join([f"doc_id {kind}", *[f"{y} boolean" for y in names], "buckets array<int>"])
+    wanted = np.zeros(BUCKETS, bool)
+    for x in _evident(map_batches(rows, _bucketed(names, None), schema), rows, names).toLocalIterator():
+        wanted[x[0]] = True
+    got = map_batches(rows, _bucketed(names, np.packbits(wanted)), schema).toArrow()
     got = got.take(np.lexsort([np.array(got["doc_id"].to_pylist() or [], dtype=object).astype(str)])) if got.num_rows else got
     flat = got["buckets"].combine_chunks()
     bucket = flat.flatten().to_numpy() if got.num_rows else np.array([], np.int32)
     counts = flat.value_lengths().to_numpy() if got.num_rows else np.array([], np.int64)
-    y = np.column_stack([np.array(got[f"y_{c}"].to_pylist(), dtype=float) for c in names]) if got.num_rows else np.zeros((0, len(names)))
-    return fit_chain(bucket, counts, y, np.arange(len(counts)) % FOLDS, names)
+    y = np.column_stack([np.array(got[c].to_pylist(), dtype=float) for c in names]) if got.num_rows else np.zeros((0, len(names)))
+    return fit_chain(bucket, counts, y, np.arange(len(counts)) % FOLDS, [c for c, _ in chain])
+
+
+def _bucketed(names: list[str], wanted: np.ndarray | None):
+    """doc_id, labels and each text's buckets; only wanted ones, if given by packed bits."""
+
+    def run(batches):
+        mask = None if wanted is None else np.unpackbits(wanted).astype(bool)
+        for b in batches:
+            bucket, counts = features(utf8(b.column("text")), mask)
+            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[b.column(c) for c in names], pa.ListArray.from_arrays(offsets, bucket)], names=["doc_id", *names, "buckets"])
+
+    return run
+
+
+def _evident(bucketed: DataFrame, rows: DataFrame, names: list[str]) -> DataFrame:
+    """(bucket) of those that show half of EVIDENCE for a category or more over the sample."""
+    seen = bucketed.select(F.explode("buckets").alias("bucket"), *names)
+    counts = lambda of: of.agg(*[F.count(c).alias(f"n_{c}") for c in names], *[F.count_if(c).alias(f"k_{c}") for c in names])
+    total = counts(rows).first()
+
+    def ratio(c: str) -> Column:
+        n, k, with_word, positive = float(total[f"n_{c}"]), float(total[f"k_{c}"]), F.col(f"n_{c}"), F.col(f"k_{c}")
+        g = F.lit(0.0)
+        for met, of, side in ((positive, with_word, k), (with_word - positive, with_word, n - k), (k - positive, n - with_word, k), (n - k - with_word + positive, n - with_word, n - k)):
+            g = g + F.when(met > 0, met * F.log(met * n / (of * side))).otherwise(0)
+        return 2 * g
+
+    kept = F.lit(False)
+    for c in names:
+        kept = kept | (ratio(c) >= EVIDENCE / 2)
+    return counts(seen.groupBy("bucket")).filter(kept).select("bucket")
 
 
 def score(documents: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
