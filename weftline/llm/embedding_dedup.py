@@ -168,3 +168,16 @@ def _lines_first(dim: int, known: dict = {}) -> np.ndarray:
 
 def op6_embedding_dedup(embeddings: DataFrame) -> DataFrame:
     return near_duplicates(embeddings)
+
+
+def op6_sql(limit: float = LIMIT) -> str:
+    return f"""WITH RECURSIVE v AS (SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+good AS (SELECT rid, vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS size FROM v
+  WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+unit AS (SELECT rid, vec_id, label, list_transform(e, lambda x: x / size) AS u FROM good),
+link AS (SELECT a.rid, b.rid AS other FROM unit a JOIN unit b ON a.label = b.label AND len(a.u) = len(b.u) AND a.rid <> b.rid AND list_dot_product(a.u, b.u) >= {limit}),
+reach AS (SELECT rid, other FROM link UNION SELECT reach.rid, link.other FROM reach JOIN link ON reach.other = link.rid),
+low AS (SELECT reach.rid, min(v.vec_id) AS m FROM reach JOIN v ON v.rid = other GROUP BY reach.rid),
+n AS (SELECT rid, count(*) AS k FROM link GROUP BY rid)
+SELECT vec_id, coalesce(k, 0) AS n_links, coalesce(least(vec_id, m), vec_id, m) AS component_id, coalesce(vec_id = coalesce(least(vec_id, m), m), true) AS kept
+FROM v LEFT JOIN low USING (rid) LEFT JOIN n USING (rid)"""

@@ -25,4 +25,10 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": license_scan.op1_sql(), "op2_chat_format": chat_format.OP2_SQL, "op8_url_filter": url_filter.op8_sql()}
+    return {
+        "op1_license_scan": license_scan.op1_sql(),
+        "op2_chat_format": chat_format.OP2_SQL,
+        "op4_suffix_dedup": suffix_dedup.op4_sql(),
+        "op6_embedding_dedup": embedding_dedup.op6_sql(),
+        "op8_url_filter": url_filter.op8_sql(),
+    }

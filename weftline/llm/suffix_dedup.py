@@ -319,10 +319,41 @@ def removals(documents: DataFrame, text: str = "text", keep_text: bool = False,
 
 
 def op4_suffix_dedup(documents: DataFrame) -> DataFrame:
-    """The contract's counts, and the digest of what is kept."""
-    named, changed = removals(documents.select("doc_id", "text"))
-    rows = named.select("doc_id", "node", "nb", F.sha2(F.coalesce("text", F.lit("")), 256).alias("whole")).join(changed, ["node", "nb"], "left")
-    return rows.select("doc_id", F.col("nb").alias("n_bytes"), F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("sha256", "whole").alias("kept_sha256"))
+    """The contract's counts for strings of 400 bytes and the digest of what is kept; and n_passage_words, the words that stand in a passage of over 50 words that starts anywhere else too."""
+    documents = documents.select("doc_id", "text")
+    named, changed = removals(documents)
+    _, passages = removals(documents, unit=WORDS)
+    of = lambda df, **more: df.select("node", "nb", *[more.get(c, F.lit(None).cast(t)).alias(c) for c, t in (("n_removed", "long"), ("n_spans", "long"), ("sha256", "string"), ("n_words", "long"))])
+    both = of(changed, n_removed=F.col("n_removed"), n_spans=F.col("n_spans"), sha256=F.col("sha256")).unionByName(of(passages, n_words=F.col("n_symbols")))
+    facts = materialize(both.groupBy("node", "nb").agg(*[F.max(c).alias(c) for c in ("n_removed", "n_spans", "sha256", "n_words")]))
+    rows = named.select("doc_id", "node", "nb", F.sha2(F.coalesce("text", F.lit("")), 256).alias("whole")).join(facts, ["node", "nb"], "left")
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long"))
+    return rows.select("doc_id", F.col("nb").alias("n_bytes"), zero("n_removed").alias("n_removed"), zero("n_spans").alias("n_spans"), F.coalesce("sha256", "whole").alias("kept_sha256"), zero("n_words").alias("n_passage_words"))
+
+
+def op4_sql() -> str:
+    """Every string by its digest; stretches of repeated ones are joined where they touch or overlap."""
+
+    def stretches(name: str, length: int) -> str:
+        return f"""{name}_new AS (SELECT rid, p, CASE WHEN p - lag(p) OVER (PARTITION BY rid ORDER BY p) <= {length} THEN 0 ELSE 1 END AS fresh FROM {name}),
+{name}_no AS (SELECT rid, p, sum(fresh) OVER (PARTITION BY rid ORDER BY p) AS k FROM {name}_new),
+{name}_span AS (SELECT rid, k, min(p) AS a, max(p) + {length} AS z FROM {name}_no GROUP BY rid, k)"""
+
+    return rf"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b, coalesce(text, '') AS t FROM documents),
+byte_all AS (SELECT rid, p, md5(b[p:p + {BYTES.length - 1}]) AS h FROM (SELECT rid, b, unnest(generate_series(1, octet_length(b) - {BYTES.length - 1})) AS p FROM d WHERE octet_length(b) >= {BYTES.length})),
+bytes AS (SELECT rid, p FROM byte_all SEMI JOIN (SELECT h FROM byte_all GROUP BY h HAVING count(*) > 1) USING (h)),
+{stretches("bytes", BYTES.length)},
+piece AS (SELECT rid, a AS p, b[coalesce(lag(z) OVER (PARTITION BY rid ORDER BY a), 1):a - 1] AS x FROM bytes_span JOIN d USING (rid)
+  UNION ALL SELECT rid, max(z), any_value(b)[max(z):] FROM bytes_span JOIN d USING (rid) GROUP BY rid),
+cut AS (SELECT rid, sha256(unhex(string_agg(hex(x), '' ORDER BY p))) AS s FROM piece GROUP BY rid),
+gone AS (SELECT rid, sum(z - a) AS n, count(*) AS k FROM bytes_span GROUP BY rid),
+word_list AS (SELECT rid, regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM d),
+word_all AS (SELECT rid, p, md5(array_to_string(w[p:p + {WORDS.length - 1}], ' ')) AS h FROM (SELECT rid, w, unnest(generate_series(1, len(w) - {WORDS.length - 1})) AS p FROM word_list WHERE len(w) >= {WORDS.length})),
+words AS (SELECT rid, p FROM word_all SEMI JOIN (SELECT h FROM word_all GROUP BY h HAVING count(*) > 1) USING (h)),
+{stretches("words", WORDS.length)},
+covered AS (SELECT rid, sum(z - a) AS n FROM words_span GROUP BY rid)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(gone.n, 0) AS BIGINT) AS n_removed, coalesce(gone.k, 0) AS n_spans, coalesce(s, sha256(b)) AS kept_sha256, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_passage_words
+FROM d LEFT JOIN gone USING (rid) LEFT JOIN cut USING (rid) LEFT JOIN covered USING (rid)"""
 
 
 def without_repeats(documents: DataFrame, text: str = "text", unit: Unit = BYTES) -> DataFrame:
