@@ -74,13 +74,74 @@ def brute_repeats(texts, length=400):
     return out
 
 
+def brute_passages(texts, length=51):
+    """For each text, which of its words stand in a passage that starts elsewhere too, and the words' places."""
+    import re
+
+    found = [[(m.start(), m.end(), m.group().lower()) for m in re.finditer(rb"[0-9A-Za-z\x80-\xff]+", t)] for t in texts]
+    count = collections.Counter(tuple(w[2] for w in f[i : i + length]) for f in found for i in range(len(f) - length + 1))
+    out = []
+    for f in found:
+        gone = np.zeros(len(f), bool)
+        for i in range(len(f) - length + 1):
+            if count[tuple(w[2] for w in f[i : i + length])] > 1:
+                gone[i : i + length] = True
+        out.append((f, gone))
+    return out
+
+
+def cut_passages(text, f, gone):
+    """The text without stretches of gone words and what is between them."""
+    keep, i = [], 0
+    for k in range(len(f)):
+        if gone[k] and (not k or not gone[k - 1]):
+            keep.append(text[i : f[k][0]])
+        if gone[k]:
+            i = f[k][1]
+    return b"".join([*keep, text[i:]])
+
+
+def edited_copies(n=60, length=2500, seed=5):
+    """Copies of one text with a changed byte here and there, so that many texts share parts between many pairs of anchors."""
+    rng = np.random.default_rng(seed)
+    base = rng.integers(97, 123, length, dtype=np.uint8)
+    base[rng.integers(0, length, length // 6)] = 32
+    out = []
+    for _ in range(n):
+        t = base.copy()
+        t[rng.integers(0, length, 6)] = 48
+        out.append(t.tobytes())
+    return out
+
+
+def op4_wanted(ids, texts):
+    words = [int(gone.sum()) for _, gone in brute_passages(texts)]
+    return collections.Counter((i, *x, w) for i, x, w in zip(ids, brute_repeats(texts), words))
+
+
+def op4_got(rows):
+    return collections.Counter((-1 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.n_passage_words) for r in rows)
+
+
 @pytest.mark.parametrize("odd", [False, True])
 def test_op4_equals_brute_force(spark, odd_dir, odd):
     folder = odd_dir if odd else SF
     docs = table(spark, folder, "documents")
-    want = collections.Counter(zip(docs.doc_id.fillna(-1), brute_repeats([(t or "").encode() for t in docs.text])))
-    rows = run(spark, "op4_suffix_dedup", folder).collect()
-    assert collections.Counter((r.doc_id if r.doc_id is not None else -1, (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in rows) == want
+    want = op4_wanted(docs.doc_id.fillna(-1), [(t or "").encode() for t in docs.text])
+    assert op4_got(run(spark, "op4_suffix_dedup", folder).collect()) == want
+
+
+def test_op4_counts_an_occurrence_under_two_anchors_once(spark):
+    from weftline.llm.suffix_dedup import BYTES, op4_suffix_dedup, runs
+
+    texts = edited_copies()
+    found = runs(texts)
+    pairs = collections.defaultdict(list)
+    for t, a in zip(found[0].tolist(), found[1].tolist()):
+        pairs[t].append(a)
+    assert any((b - a) % BYTES.block == 0 and b - a < BYTES.span for x in pairs.values() for a in x for b in x if b > a)
+    docs = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert op4_got(op4_suffix_dedup(docs).collect()) == op4_wanted(range(len(texts)), texts)
 
 
 def test_op6_equals_brute_force(spark, odd_dir):
@@ -213,8 +274,9 @@ def test_pipeline_equals_its_plain_version(spark):
     assert {r.doc_id for r in second.collect()} == {r.doc_id for r in op3_minhash_dedup(first).collect() if r.kept}
     third = {r.doc_id: r.text for r in corpus_pipeline.STAGES[2][1](spark, second, SF).collect()}
     rows = second.collect()
-    for r, want in zip(rows, brute_repeats([(r.text or "").encode() for r in rows])):
-        assert want[1] == 0 and third[r.doc_id] == r.text or len((third[r.doc_id] or "").encode()) <= want[0] - want[1]
+    texts = [(r.text or "").encode() for r in rows]
+    for r, t, (words, gone) in zip(rows, texts, brute_passages(texts)):
+        assert (third[r.doc_id] or "").encode() == cut_passages(t, words, gone)
     out = corpus_pipeline.run(spark, SF).collect()
     assert len(out) > 0 and {r.doc_id for r in out} <= set(third)
     codec = Codec(*public_vocabulary())
