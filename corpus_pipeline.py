@@ -47,8 +47,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 @_carried
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without strings of 400 bytes that occur elsewhere; every document stays."""
-    return _counted(suffix_dedup.without_repeats(docs))
+    """Texts without passages of over 50 words that occur elsewhere; every document stays."""
+    return _counted(suffix_dedup.without_repeats(docs, unit=suffix_dedup.WORDS))
 
 
 @_carried
