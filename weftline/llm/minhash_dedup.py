@@ -13,9 +13,10 @@ decided by alignment within a band of the diagonals that such a distance can rea
 points, one edit at a time).
 
 Equal texts form one node. Each bucket (sketch value) links its members to a pivot. Where a bucket
-still holds several components, its other pairs are compared too, in blocks of bounded size, unless an
-earlier bucket has them; so no pair that shares a sketch goes unchecked unless it is in one class
-already. Tasks return links, never all pairs.
+still holds several components, its other pairs are compared too, in blocks of bounded size, by bands
+of length, unless an earlier bucket has them; so no pair that shares a sketch goes unchecked unless it
+is in one class already. Tasks return links, never all pairs. The blocks of such a bucket grow with the
+square of the members that have similar lengths.
 
 A null text counts as empty; texts without words link only with equal ones; a text of fewer than five
 words is one k-mer. Repeated rows share a class. Words are split at white space, A-Z in lower case.
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from weftline.llm.arrow import map_batches
 from weftline.llm.textnum import groups, mix, utf8, words
 from weftline.operators.components import connected_components
-from weftline.session import materialize
+from weftline.session import discard, materialize
 
 WORDS, SIMILARITY = 5, 0.8
 #: Hash functions, and k-mers sampled by each.
@@ -42,8 +43,10 @@ SETS = ((WORDS, LEAST, SKETCHES), (3, 2, 24))
 ALL = sum(n for _, _, n in SETS)
 #: Words of the longer text up to which candidates are exact.
 SHORT = 16
-#: Members of a block where a bucket's pairs are compared.
-BLOCK = 256
+#: Edits that an alignment follows one at a time.
+FIRST = 12
+#: Members of a block where a bucket's pairs are compared, and bins of words.
+BLOCK, BINS = 1024, 256
 _SEEDS = mix(np.arange(1, ALL + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _STEP = mix(np.arange(100, 100 + WORDS, dtype=np.uint64)) | np.uint64(1)
 _SHORT_STEP = mix(np.arange(200, 200 + SHORT, dtype=np.uint64)) | np.uint64(1)
@@ -147,8 +150,37 @@ def _run(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarr
     return far
 
 
-def within(a: np.ndarray, b: np.ndarray, most: int) -> bool:
-    """Whether the edit distance of two sequences of non-negative numbers is at most ``most``."""
+def _columns(a: list[int], b: list[int], most: int) -> bool:
+    """Whether the edit distance is at most ``most``: column by column, the band's differences as bits of two integers (Hyyrö 2003). Lengths differ by ``most`` at most, the longer one is longer than that."""
+    a, b = (a, b) if len(a) >= len(b) else (b, a)
+    places: dict[int, int] = {}
+    for p, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << p
+    width = 2 * most + 1
+    mask, top = (1 << width) - 1, 1 << width - 1
+    # bit of the band's row: the last one stands for row i + most of column i
+    up, down, distance, turn = mask ^ ((1 << most) - 1), 0, most, len(a) - most
+    row, limit = top, most + len(b) - turn
+    for i, x in enumerate(b):
+        same = places.get(x, 0)
+        same = (same << most - i if i < most else same >> i - most) & mask
+        zero = ((((same & up) + up) ^ up) | same | down) & mask
+        right, left = down | (~(zero | up) & mask), zero & up
+        if i < turn:
+            if not zero & top:
+                distance += 1
+                if distance > limit:
+                    return False
+        else:
+            row >>= 1
+            distance += bool(right & row) - bool(left & row)
+        zero >>= 1
+        up, down = left | (~(zero | right) & mask), zero & right
+    return distance <= most
+
+
+def within(a: np.ndarray, b: np.ndarray, most: int, first: int = FIRST) -> bool:
+    """Whether the edit distance of two sequences of non-negative numbers is at most ``most``. The first edits are followed one at a time, to furthest-reaching points; if more are needed, the band is filled."""
     n = min(len(a), len(b))
     differ = np.flatnonzero(a[:n] != b[:n])
     head = int(differ[0]) if len(differ) else n
@@ -164,12 +196,16 @@ def within(a: np.ndarray, b: np.ndarray, most: int) -> bool:
         return max(n, m) <= most
     if max(n, m) - _bag_shared(a, b) > most:
         return False
+    if most > first:
+        plain = a.tolist(), b.tolist()
     a, b, goal = np.append(a, -1), np.append(b, -2), m - n
-    width = most + 1
+    width = min(most, first) + 1
     reach = np.full(2 * width + 3, -1 << 40, np.int64)  # by diagonal j - i, shifted by width + 1
     mid = width + 1
     reach[mid] = _run(a, b, np.zeros(1, np.int64), np.zeros(1, np.int64))[0]
     for d in range(1, most + 1):
+        if d > first:
+            return _columns(*plain, most)
         slack = most - d
         low, high = max(-d, goal - slack, -n), min(d, goal + slack, m)
         diagonal = np.arange(low, high + 1)
@@ -181,7 +217,7 @@ def within(a: np.ndarray, b: np.ndarray, most: int) -> bool:
         i, diagonal = i[ok], diagonal[ok]
         new[diagonal + mid] = i + _run(a, b, i, i + diagonal)
         reach = new
-        if reach[goal + mid] >= n:
+        if abs(goal) < width and reach[goal + mid] >= n:
             return True
     return False
 
@@ -220,23 +256,33 @@ def _verify(limit: float):
     return run
 
 
+def _bags(seqs: list[np.ndarray]) -> np.ndarray:
+    """For each text how many of its words fall into each of BINS bins."""
+    out = np.zeros((len(seqs), BINS), np.int32)
+    for k, x in enumerate(seqs):
+        out[k] = np.bincount(x % BINS, minlength=BINS)
+    return out.astype(np.int16) if out.size and out.max() < 1 << 15 else out
+
+
 def _rest(limit: float):
-    """Pairs of a block, or of two, that are in different components, and in no earlier bucket together."""
+    """Pairs of a block, or of two, that are in different components, and in no earlier bucket together. Bags tell how many words two texts can share at most, so most pairs need no alignment."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         t = int(pdf["t"].iloc[0])
         seqs = [_numbers(x) for x in pdf["seq"]]
         sketch, node, side = np.stack([x[:ALL] for x in pdf["sketches"]]), pdf["node"].to_numpy(), pdf["side"].to_numpy()
         names, group = np.unique(pdf["component"].to_numpy(), return_inverse=True)
-        size = np.array([len(x) for x in seqs])
+        size, bags = np.array([len(x) for x in seqs]), _bags(seqs)
         found = []
         for i in range(len(pdf)):
             if side[i] == 1:
                 continue
-            later = np.arange(len(pdf)) > i if side[i] == 2 else side == 1
-            near = later & (group != group[i]) & (np.minimum(size, size[i]) >= limit * np.maximum(size, size[i]) - 1e-9)
-            near &= ~(sketch[:, :t] == sketch[i, :t]).any(1)
-            for j in np.flatnonzero(near):
+            longer = np.maximum(size, size[i])
+            near = (side == 1) | (np.arange(len(pdf)) > i) & (side == 2) if side[i] == 2 else side == 1
+            near &= (group != group[i]) & (np.minimum(size, size[i]) >= limit * longer - 1e-9)
+            at = np.flatnonzero(near)
+            at = at[longer[at] - np.minimum(bags[at], bags[i]).sum(1, dtype=np.int64) <= np.floor((1 - limit) * longer[at] + 1e-9)]
+            for j in at[~(sketch[at, :t] == sketch[i, :t]).any(1)]:
                 if group[j] != group[i] and similar(seqs[i], seqs[j], limit):
                     found.append((node[i], node[j]))
                     group[group == group[j]] = group[i]
@@ -245,6 +291,34 @@ def _rest(limit: float):
     return run
 
 
+def _between_components(left: DataFrame, nodes: DataFrame, seqs: DataFrame, limit: float) -> DataFrame:
+    """(a, b): links between the components in one bucket. left: t, s, node, component, band.
+
+    Similar texts are in one band of lengths or in neighbouring ones, and a band's members are dealt over blocks.
+    """
+    cells = left.groupBy("t", "s", "band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("subs"), F.min("component").alias("c"), F.max("component").alias("d"))
+    beside = lambda step, name: cells.select("t", "s", (F.col("band") + step).alias("band"), F.struct("subs", "c", "d").alias(name))
+    known = cells.join(beside(-1, "after"), ["t", "s", "band"], "left").join(beside(1, "before"), ["t", "s", "band"], "left")
+    other = lambda x: F.when((F.least("c", f"{x}.c") != F.greatest("d", f"{x}.d")), F.col(f"{x}.subs")).otherwise(0)
+    # where two neighbouring bands are a block each, the longer one joins the task of the shorter one, unless that has none
+    alone = lambda shorter: F.coalesce((F.col(f"{shorter}c") != F.col(f"{shorter}d")) & (F.col("subs") == 1) & (F.col("after.subs" if not shorter else "before.subs") == 1), F.lit(False))
+    own = F.when(F.col("c") != F.col("d"), F.col("subs")).otherwise(0)
+    # a table of its own, so that both sides of the join are plain exchanges and a frequent bucket can be split
+    known = materialize(known.select("t", "s", "band", "subs", own.alias("own"), F.when(alone(""), 0).otherwise(other("after")).alias("after"), F.when(alone("before."), 0).otherwise(other("before")).alias("before"), (alone("before.") & (other("before") > 0)).alias("joins")))
+    rows = left.join(known, ["t", "s", "band"]).withColumn("me", F.pmod(F.xxhash64("node"), F.col("subs")).cast("int"))
+    upto = lambda n: F.filter(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda x: x < n)
+    task = lambda c, kind, i, j, side: F.struct(c.alias("c"), F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), side.alias("side"))
+    me, here = F.col("me"), F.col("band")
+    own = F.transform(upto(F.col("own")), lambda x: task(here, 0, F.least(x, me), F.greatest(x, me), F.when(x == me, 2).when(me < x, 0).otherwise(1)))
+    after = F.transform(upto(F.col("after")), lambda x: task(here, 1, me, x, F.lit(0)))
+    before = F.transform(upto(F.col("before")), lambda x: task(here - 1, 1, x, me, F.lit(1)))
+    guest = F.transform(upto(F.col("joins").cast("int")), lambda x: task(here - 1, 0, x, x, F.lit(1)))
+    dealt = rows.select("t", "s", "node", "component", F.explode(F.concat(own, after, before, guest)).alias("k")).select("t", "s", "k.*", "node", "component")
+    full = dealt.join(nodes, "node").join(seqs.select("node", "seq"), "node")
+    full = full.select("t", "s", "c", "kind", "i", "j", "side", "node", "component", "sketches", "seq")
+    return full.groupBy("t", "s", "c", "kind", "i", "j").applyInPandas(_rest(limit), "a string, b string")
+
+
 def classes(documents: DataFrame, text: str = "text", key: str = "doc_id", limit: float = SIMILARITY) -> DataFrame:
     """One row for each row of documents: key, node (of its text), class_id (the smallest key of its class), class_node (the node of that one)."""
     rows = documents.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("node", F.md5("text"))
@@ -268,19 +342,19 @@ def classes(documents: DataFrame, text: str = "text", key: str = "doc_id", limit
     links = materialize(map_batches(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "seq_a", "seq_b"), _verify(limit), "a string, b string"))
     joined = materialize(connected_components(links, "a", "b"))
     of = members.join(needed, "node", "left_semi").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_ = of.groupBy("t", "s").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.ceil(F.count("*") / BLOCK).cast("int").alias("subs")).filter("c <> d").select("t", "s", "subs")
+    open_ = of.groupBy("t", "s").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c <> d").select("t", "s")
     open_ = materialize(open_)
-    left = materialize(of.join(open_, ["t", "s"]))
+    words_of = F.octet_length("seq") / 4
+    bands = seqs.select("node", F.floor(F.log(F.greatest(words_of, F.lit(1.0))) / float(np.log(1 / limit) * (1 + 1e-9))).cast("int").alias("band"))
+    left = materialize(of.join(open_, ["t", "s"]).join(bands, "node"))
     if not left.isEmpty():
-        me = F.pmod(F.xxhash64("node"), F.col("subs")).cast("int")
-        task = lambda x: F.struct(F.least(x, F.col("me")).alias("i"), F.greatest(x, F.col("me")).alias("j"), F.when(x == F.col("me"), 2).when(F.col("me") < x, 0).otherwise(1).alias("side"))
-        dealt = left.withColumn("me", me).select("t", "s", "node", "component", F.explode(F.transform(F.sequence(F.lit(0), F.col("subs") - 1), task)).alias("k")).select("t", "s", "k.*", "node", "component")
-        full = dealt.join(nodes, "node").join(seqs, "node")
-        more = materialize(full.select("t", "s", "i", "j", "side", "node", "component", "sketches", "seq").groupBy("t", "s", "i", "j").applyInPandas(_rest(limit), "a string, b string"))
+        more = materialize(_between_components(left, nodes, seqs, limit))
         if not more.isEmpty():
             joined = materialize(connected_components(links.unionByName(more), "a", "b"))
     least = sketched.groupBy("node").agg(F.min("key").alias("key")).join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = materialize(least)
+    for x in (nodes, pivots, pairs, seqs, links, open_, left):
+        discard(x)
     chosen = materialize(least.groupBy("component").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "node")).alias("x")))
     facts = least.select("node", "component").join(chosen, "component").select("node", F.col("x.key").alias("class_id"), F.col("x.node").alias("class_node"))
     return sketched.select(F.col("key").alias(key), "node").join(facts, "node")
