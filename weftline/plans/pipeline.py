@@ -77,8 +77,9 @@ class Run:
         return canonical.resolve(o["entities"], self.companies)
 
     def _train_and_score(self, rows: DataFrame) -> DataFrame:
-        fitted, fills = model.fit(model.training_rows(rows, matching.weak_labels(rows)))
-        if self.settings.model_path:
+        rows = materialize(matching.labelled(rows))
+        fitted, fills = model.fit(model.draw(rows))
+        if self.settings.model_path and fitted:
             model.save(fitted, self.settings.model_path)
         return model.score(fitted, fills, rows)
 
